@@ -11,16 +11,25 @@ from pyspark.sql import functions as F
 _BUCKETS_PER_OCTAVE = 512
 
 
+def value_counts(frame: DataFrame, keys: Sequence[str], value: str, **more: Column) -> DataFrame:
+    """Rows per group and value as ``__v`` (double) and ``__n``, with ``more`` aggregates alongside."""
+    number = F.col(value).cast("double").alias("__v")
+    return frame.groupBy(*keys, number).agg(F.count("*").alias("__n"), *[c.alias(n) for n, c in more.items()])
+
+
 def exact_median(frame: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group, without holding a group's values in one place.
+    """Exact median per group, nulls ignored; groups without any value are absent."""
+    return median_of_counts(value_counts(frame, keys, value), keys, name)
+
+
+def median_of_counts(counted: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:
+    """Exact median per group from ``value_counts``, without holding a group's values in one place.
 
-    The built-in median keeps a map of all distinct values of a group in memory. Here equal values are
-    counted first, then counted per order-preserving value bucket (some ten thousand per group at most); the
-    bucket that holds the middle rank is found from those, and only its values are sorted. Nulls are
-    ignored; groups without values are absent.
+    The built-in median keeps a map of all distinct values of a group in memory. Here the counts are summed
+    per order-preserving value bucket (some ten thousand per group at most); the bucket that holds the
+    middle rank is found from those, and only its values are sorted.
     """
-    number = F.col(value).cast("double")
-    counted = frame.filter(F.col(value).isNotNull()).groupBy(*keys, number.alias("__v")).agg(F.count("*").alias("__n"))
+    counted = counted.filter(F.col("__v").isNotNull()).select(*keys, "__v", "__n")
     magnitude = F.floor(F.log2(F.abs("__v") + 1) * _BUCKETS_PER_OCTAVE)
     counted = counted.withColumn("__b", (F.signum("__v") * magnitude).cast("int"))
     groups = Window.partitionBy(*keys)

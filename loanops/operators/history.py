@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanops.operators.joins import HOT_ROWS, spread_join
+from loanops.operators.joins import HOT_ROWS, attach
 
 
 def latest_row(frame: DataFrame, keys: Sequence[str], by: str, nulls_first: bool = True) -> DataFrame:
@@ -27,57 +28,51 @@ def with_group_value(
 ) -> DataFrame:
     """Attach aggregates of its group to every row. Rows with a null key drop out, as in an inner self-join.
 
-    Not a window: a window would pull a hot group into one task. Here groups are aggregated before the
-    shuffle and joined back with hot keys spread.
+    Not a window: a window would pull a hot group into one task. Groups are aggregated before the shuffle
+    and joined back, the hottest by broadcast.
     """
-    names = [f"__g{i}" for i in range(len(keys))]
-    groups = (
-        frame.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)])
-        .agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias("__n"))
-    )
-    sizes = groups.select(
-        *[F.col(n).alias(f"__k{i}") for i, n in enumerate(names)],
-        F.col("__n").alias("__l"),
-        F.lit(1).cast("long").alias("__r"),
-    )
-    return spread_join(
-        frame, groups.drop("__n"), keys, names, "inner", right_unique=True, sizes=sizes, hot_rows=hot_rows
-    ).drop(*names)
+    groups = frame.groupBy(*keys).agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias("__n"))
+    return attach(frame, groups, keys, "__n", hot_rows)
 
 
 def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str, **options) -> DataFrame:
     return with_group_value(frame, keys, {name: F.min(value)}, **options)
 
 
-def keep_extreme(
-    frame: DataFrame,
-    keys: Sequence[str],
-    by: str,
-    which: str = "max",
-    member: Column | None = None,
-    **options,
-) -> DataFrame:
+def extremes(frame: DataFrame, keys: Sequence[str], by: str, which: str = "max") -> DataFrame:
+    """Per group the extreme of ``by`` as ``__best``: null if it has no value. Groups with a null key drop out."""
+    best = F.max if which == "max" else F.min
+    return frame.filter(_present(keys)).groupBy(*keys).agg(best(by).alias("__best"))
+
+
+def rows_at(frame: DataFrame, best: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
+    """Rows of ``frame`` at their group's extreme, ties kept; a null extreme keeps the rows without value.
+
+    The join is on group and value together, so only equal rows meet in one partition, and as the extremes
+    are partitioned by group alone both sides are exchanged: the adaptive skew join can split it.
+    """
+    side = best.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], "__best")
+    condition = frame[by].eqNullSafe(side["__best"])
+    for i, key in enumerate(keys):
+        condition = condition & (frame[key] == side[f"__g{i}"])
+    return frame.join(side, condition, "inner").select(*frame.columns)
+
+
+def keep_extreme(frame: DataFrame, keys: Sequence[str], by: str, which: str = "max") -> DataFrame:
     """Rows at the extreme of ``by`` in their group, ties kept.
 
     origin: pandas. Groups with a null key drop out; a group without any value keeps all of its rows.
-    ``member``: keep only groups in which it holds for some row.
     """
-    values = {"__best": (F.max if which == "max" else F.min)(by)}
-    if member is not None:
-        values["__member"] = F.bool_or(F.coalesce(member, F.lit(False)))
-    rows = with_group_value(frame, keys, values, **options).filter(F.col(by).eqNullSafe(F.col("__best")))
-    if member is not None:
-        rows = rows.filter("__member")
-    return rows.drop("__best", "__member")
+    return rows_at(frame, extremes(frame, keys, by, which), keys, by)
 
 
-def group_max_rows(frame: DataFrame, keys: Sequence[str], by: str, **options) -> DataFrame:
+def group_max_rows(frame: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
     """origin: SQL. Rows whose ``by`` equals the maximum of their group, ties kept; a null never equals."""
-    return (
-        with_group_value(frame.filter(F.col(by).isNotNull()), keys, {"__best": F.max(by)}, **options)
-        .filter(F.col(by) == F.col("__best"))
-        .drop("__best")
-    )
+    return keep_extreme(frame.filter(F.col(by).isNotNull()), keys, by, "max")
+
+
+def _present(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
 
 
 def first_state_times(
@@ -93,17 +88,26 @@ def first_state_times(
 
 
 def next_after(
-    history: DataFrame, key: str, state: str, at: str, after: str, wanted: str, name: str = "next_on", **options
+    history: DataFrame,
+    key: str,
+    state: str,
+    at: str,
+    after: str,
+    wanted: str,
+    name: str = "next_on",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Per key, the first time in state ``wanted`` strictly after the last time in state ``after``."""
+    is_wanted = F.col(state) == wanted
     last = (
-        history.filter(F.col(state) == after)
-        .groupBy(F.col(key).alias("__key"))
-        .agg(F.max(at).alias("__after"))
+        history.filter(F.col(state).isin(after, wanted))
+        .groupBy(key)
+        .agg(F.max(F.when(F.col(state) == after, F.col(at))).alias("__after"), F.count_if(is_wanted).alias("__n"))
+        .filter((F.col("__n") > 0) & F.col("__after").isNotNull())
     )
-    later = history.filter(F.col(state) == wanted).select(key, at)
+    later = history.filter(is_wanted).select(key, at)
     return (
-        spread_join(later, last, [key], ["__key"], "inner", right_unique=True, **options)
+        attach(later, last, [key], "__n", hot_rows)
         .filter(F.col(at) > F.col("__after"))
         .groupBy(key)
         .agg(F.min(at).alias(name))

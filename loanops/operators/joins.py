@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,19 +49,6 @@ def semi_ids(frame: DataFrame, ids: DataFrame, on: str, id_column: str) -> DataF
     return frame.join(side, frame[on] == side["__id"], "left_semi")
 
 
-def key_sizes(left: DataFrame, right: DataFrame | None, left_on: Sequence[str], right_on: Sequence[str]) -> DataFrame:
-    """Rows per key and side, pre-aggregated before the one shuffle. No ``right``: one row per key there."""
-    names = [f"__k{i}" for i in range(len(left_on))]
-    one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
-    sides = left.select(*[F.col(c).alias(n) for c, n in zip(left_on, names)], one.alias("__l"), zero.alias("__r"))
-    if right is not None:
-        sides = sides.unionAll(
-            right.select(*[F.col(c).alias(n) for c, n in zip(right_on, names)], zero.alias("__l"), one.alias("__r"))
-        )
-    sizes = sides.groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
-    return sizes if right is not None else sizes.withColumn("__r", one)
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -68,8 +56,9 @@ def spread_join(
     right_on: Sequence[str],
     how: str = "inner",
     *,
-    right_unique: bool = False,
-    sizes: DataFrame | None = None,
+    hot: str = "both",
+    left_keys: DataFrame | None = None,
+    right_keys: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join (inner, left or full) in which no single task gets all rows of a hot key.
@@ -79,49 +68,82 @@ def spread_join(
     meets nobody in its cell is dropped where the key is known to be on both sides. The list of hot keys is
     the only broadcast: at most ``MAX_HOT_KEYS`` rows. Column names of the two sides must differ.
 
-    ``right_unique``: one right row per key, so only left rows are spread. ``sizes``: a table shaped
-    like ``key_sizes`` for callers that have the counts already.
+    ``hot`` names the sides that may have many rows per key; only those are counted, in one pre-aggregated
+    pass. ``left_keys`` / ``right_keys``: a cheaper table with the same keys and row counts to count instead.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
-    if how not in ("inner", "left", "full"):
-        raise ValueError(how)
-    if sizes is None:
-        sizes = key_sizes(left, None if right_unique and how != "full" else right, left_on, right_on)
+    if how not in ("inner", "left", "full") or hot not in ("left", "right", "both"):
+        raise ValueError((how, hot))
     names = [f"__k{i}" for i in range(len(left_on))]
-    hot = (
-        sizes.filter((F.col("__l") > hot_rows) | (F.col("__r") > hot_rows))
-        .filter(_all_present(names))
-        .orderBy(F.greatest("__l", "__r").desc(), *names)
-        .limit(MAX_HOT_KEYS)
-        .select(
-            *names,
-            _cells("__l", hot_rows).alias("__rows"),
-            _cells("__r", hot_rows).alias("__cols"),
-            ((F.col("__l") > 0) & (F.col("__r") > 0)).alias("__both"),
-        )
+    counted = []
+    if hot != "right":
+        counted.append(_key_rows(left if left_keys is None else left_keys, left_on, names, 1, 0))
+    if hot != "left":
+        counted.append(_key_rows(right if right_keys is None else right_keys, right_on, names, 0, 1))
+    sizes = reduce(DataFrame.unionAll, counted).groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
+    met = (F.col("__l") > 0) & (F.col("__r") > 0) if hot == "both" else F.lit(True)
+    marks = (
+        _hottest(sizes.withColumn("__n", F.greatest("__l", "__r")), names, "__n", hot_rows)
+        .select(*names, _cells("__l", hot_rows).alias("__rows"), _cells("__r", hot_rows).alias("__cols"), met.alias("__met"))
     )
-    keep_left, keep_right = left.columns, right.columns
-    placed_left = _place(left, left_on, hot, names, own="__rows", other="__cols", copies=not right_unique, tag="l")
-    placed_right = _place(right, right_on, hot, names, own="__cols", other="__rows", copies=True, tag="r")
+    placed_left = _place(left, left_on, marks, names, own="__rows", other="__cols", copies=hot != "left", tag="l")
+    placed_right = _place(right, right_on, marks, names, own="__cols", other="__rows", copies=hot != "right", tag="r")
     condition = (F.col("__l_own") == F.col("__r_other")) & (F.col("__l_other") == F.col("__r_own"))
     for a, b in zip(left_on, right_on):
         condition = condition & (placed_left[a] == placed_right[b])
     joined = placed_left.join(placed_right, condition, how)
-    if how == "full" or (how == "left" and not right_unique):
-        alone = F.col("__l_here").isNull() | F.col("__r_here").isNull()
-        joined = joined.filter(~(alone & F.coalesce("__l_both", "__r_both", F.lit(False))))
-    return joined.select(*keep_left, *keep_right)
+    if how != "inner":
+        lonely_left = F.col("__r_here").isNull() & F.coalesce("__l_met", F.lit(False))
+        lonely_right = F.col("__l_here").isNull() & F.coalesce("__r_met", F.lit(False))
+        # Only copied rows may be dropped: the copies of one row that met somebody stand for it.
+        if hot == "left":
+            joined = joined.filter(~lonely_right)
+        elif hot == "right":
+            joined = joined.filter(~lonely_left)
+        else:
+            joined = joined.filter(~(lonely_left | lonely_right))
+    return joined.select(*left.columns, *right.columns)
+
+
+def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Inner join of ``rows`` to ``groups``: one row per key, with the number of ``rows`` of that key in ``count``.
+
+    Groups above ``hot_rows`` (at most ``MAX_HOT_KEYS``) are broadcast with their values, and their rows are
+    taken out of the shuffle key; all other rows are joined by key as usual. Columns of ``groups`` other
+    than the keys and ``count`` are added to ``rows``.
+    """
+    values = [c for c in groups.columns if c not in (*keys, count)]
+    found = F.struct(*values)
+    rows = rows.filter(_all_present(keys))
+    hot = _hottest(groups, keys, count, hot_rows).select(
+        *[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], found.alias("__hot")
+    )
+    marked = rows.join(F.broadcast(hot), _equal(rows, keys, hot, "__h"), "left").drop(
+        *[f"__h{i}" for i in range(len(keys))]
+    )
+    settled = F.col("__hot").isNotNull()
+    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashables(rows)), F.lit(NULL_CELLS))
+    marked = marked.withColumns(
+        {f"__c{i}": F.when(~settled, F.col(k)) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0)}
+    )
+    side = groups.select(
+        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), F.lit(0).cast("long").alias("__side")
+    )
+    condition = F.col("__cell") == F.col("__side")
+    for i in range(len(keys)):
+        condition = condition & (F.col(f"__c{i}") == F.col(f"__g{i}"))
+    joined = marked.join(side, condition, "left").withColumn("__got", F.coalesce("__hot", "__found"))
+    return joined.filter(F.col("__got").isNotNull()).select(
+        *rows.columns, *[F.col(f"__got.{v}").alias(v) for v in values]
+    )
 
 
 def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged: Sequence[str] = ()) -> DataFrame:
     """Full outer join of two tables with one row per key; keys and ``merged`` columns are taken left first."""
     side = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns})
-    condition = None
-    for key in on:
-        part = left[key] == side[f"__r_{key}"]
-        condition = part if condition is None else condition & part
+    condition = reduce(lambda a, b: a & b, [left[key] == side[f"__r_{key}"] for key in on])
     both = left.join(side, condition, "full")
     shared = [*on, *merged]
     return both.select(
@@ -131,44 +153,54 @@ def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged:
     )
 
 
+def _key_rows(frame: DataFrame, on: Sequence[str], names: Sequence[str], left: int, right: int) -> DataFrame:
+    return frame.select(
+        *[F.col(c).alias(n) for c, n in zip(on, names)],
+        F.lit(left).cast("long").alias("__l"),
+        F.lit(right).cast("long").alias("__r"),
+    )
+
+
+def _hottest(sizes: DataFrame, keys: Sequence[str], count: str, hot_rows: int) -> DataFrame:
+    return (
+        sizes.filter((F.col(count) > hot_rows) & _all_present(keys))
+        .orderBy(F.col(count).desc(), *keys)
+        .limit(MAX_HOT_KEYS)
+    )
+
+
 def _all_present(names: Sequence[str]) -> Column:
-    present = F.lit(True)
-    for name in names:
-        present = present & F.col(name).isNotNull()
-    return present
+    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in names])
 
 
 def _cells(rows: str, hot_rows: int) -> Column:
     return F.least(F.greatest(F.ceil(F.col(rows) / hot_rows), F.lit(1)), F.lit(MAX_CELLS)).cast("int")
 
 
-def _place(frame, on, hot, names, own, other, copies, tag) -> DataFrame:
+def _equal(frame: DataFrame, on: Sequence[str], marks: DataFrame, prefix: str) -> Column:
+    return reduce(lambda a, b: a & b, [frame[c] == marks[f"{prefix}{i}"] for i, c in enumerate(on)])
+
+
+def _hashables(frame: DataFrame) -> list[Column]:
+    return [F.col(f.name) for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+
+
+def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
     """Give each row its cell, and copy it along the other side's cells of a hot key."""
     columns = frame.columns
-    marks = F.broadcast(hot.withColumnsRenamed({n: f"__{tag}{n}" for n in names}))
-    condition = None
-    for column, name in zip(on, names):
-        part = frame[column] == marks[f"__{tag}{name}"]
-        condition = part if condition is None else condition & part
+    side = marks.withColumnsRenamed({n: f"__{tag}k{i}" for i, n in enumerate(names)})
     # Content and input partition together: copies of one row spread too, and a retried task repeats the choice.
-    spot = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in columns if _hashable(frame, c)])
-    placed = frame.join(marks, condition, "left").select(
+    spot = F.xxhash64(F.spark_partition_id(), *_hashables(frame))
+    placed = frame.join(F.broadcast(side), _equal(frame, on, side, f"__{tag}k"), "left").select(
         *columns,
         F.lit(True).alias(f"__{tag}_here"),
-        F.col("__both").alias(f"__{tag}_both"),
+        F.col("__met").alias(f"__{tag}_met"),
         F.when(F.col(own).isNotNull(), F.pmod(spot, F.col(own)))
         .when(~_all_present(on), F.pmod(spot, F.lit(NULL_CELLS)))
         .otherwise(0)
         .cast("int")
         .alias(f"__{tag}_own"),
-        F.col(other).alias("__span"),
+        F.coalesce(F.col(other), F.lit(1)).alias("__span"),
     )
-    if not copies:
-        return placed.withColumn(f"__{tag}_other", F.lit(0)).drop("__span")
-    return placed.withColumn(
-        f"__{tag}_other", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__span"), F.lit(1)) - 1))
-    ).drop("__span")
-
-
-def _hashable(frame: DataFrame, column: str) -> bool:
-    return frame.schema[column].dataType.typeName() not in ("map", "variant")
+    cell = F.explode(F.sequence(F.lit(0), F.col("__span") - 1)) if copies else F.lit(0)
+    return placed.withColumn(f"__{tag}_other", cell).drop("__span")

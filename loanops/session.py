@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings; safe to apply to a session that somebody else built.
 RUNTIME_CONF = {
@@ -39,16 +38,26 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return tune(spark)
 
 
-def use_checkpoints(spark: SparkSession) -> str:
-    """Folder for reliable checkpoints: the cluster's own setting, else (tests) a fresh local folder."""
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """Folder for reliable checkpoints: the one the session names; in local mode else a fresh temporary one.
+
+    None on a cluster that names no shared folder.
+    """
     context = spark.sparkContext
-    current = context.getCheckpointDir()
-    if current:
-        return current
-    folder = context.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="loanops-checkpoint-", dir=os.environ.get("TMPDIR"))
-    context.setCheckpointDir(folder)
+    if context.getCheckpointDir():
+        return context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and context.master.startswith("local"):
+        folder = tempfile.mkdtemp(prefix="loanops-checkpoint-")
+    if folder:
+        context.setCheckpointDir(folder)
     return folder
+
+
+def settle(frame: DataFrame) -> DataFrame:
+    """``frame`` computed once and read back from a reliable checkpoint, for plans that use it several times.
+
+    Runs a job. Where no shared folder is named the frame is returned as it is: the same rows, computed
+    again at every use.
+    """
+    return frame.checkpoint() if checkpoint_folder(frame.sparkSession) else frame
