@@ -89,7 +89,10 @@ STANDINS = {
         select o_orderkey as request_id, o_custkey as account_id, o_orderkey as credit_id,
                o_orderkey + 1 as associated_collection_id, {_lender('o_custkey')} as lender_id, {_REQUEST_STATUS} as status,
                cast(o_totalprice as decimal(18,2)) as amount_due,
-               {_CREATED} as created_on, {_UPDATED} as last_updated_on
+               case when o_orderkey % 3 = 0
+                    then cast('1999-06-14 00:00:00' as {{ntz}}) + interval '1' minute * (o_orderkey % 2880)
+                    else {_CREATED} end as created_on,
+               {_UPDATED} as last_updated_on
         from {{orders}}""",
     "credit_main": f"""
         select o_orderkey as credit_id, o_custkey as account_id,
