@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanops.operators.joins import HOT_ROWS, attach
+from loanops.operators.joins import HOT_ROWS, ROWS, attach
 
 
 def latest_row(frame: DataFrame, keys: Sequence[str], by: str, nulls_first: bool = True) -> DataFrame:
@@ -31,8 +31,8 @@ def with_group_value(
     Not a window: a window would pull a hot group into one task. Groups are aggregated before the shuffle
     and joined back, the hottest by broadcast.
     """
-    groups = frame.groupBy(*keys).agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias("__n"))
-    return attach(frame, groups, keys, "__n", hot_rows)
+    groups = frame.groupBy(*keys).agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias(ROWS))
+    return attach(frame, groups, keys, ROWS, hot_rows)
 
 
 def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str, **options) -> DataFrame:
@@ -40,9 +40,12 @@ def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str,
 
 
 def extremes(frame: DataFrame, keys: Sequence[str], by: str, which: str = "max") -> DataFrame:
-    """Per group the extreme of ``by`` as ``__best``: null if it has no value. Groups with a null key drop out."""
+    """Per group the extreme of ``by`` as ``__best`` (null if it has no value) and its row count.
+
+    Groups with a null key drop out.
+    """
     best = F.max if which == "max" else F.min
-    return frame.filter(_present(keys)).groupBy(*keys).agg(best(by).alias("__best"))
+    return frame.filter(_present(keys)).groupBy(*keys).agg(best(by).alias("__best"), F.count("*").alias(ROWS))
 
 
 def rows_at(frame: DataFrame, best: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
@@ -102,12 +105,12 @@ def next_after(
     last = (
         history.filter(F.col(state).isin(after, wanted))
         .groupBy(key)
-        .agg(F.max(F.when(F.col(state) == after, F.col(at))).alias("__after"), F.count_if(is_wanted).alias("__n"))
-        .filter((F.col("__n") > 0) & F.col("__after").isNotNull())
+        .agg(F.max(F.when(F.col(state) == after, F.col(at))).alias("__after"), F.count_if(is_wanted).alias(ROWS))
+        .filter((F.col(ROWS) > 0) & F.col("__after").isNotNull())
     )
     later = history.filter(is_wanted).select(key, at)
     return (
-        attach(later, last, [key], "__n", hot_rows)
+        attach(later, last, [key], ROWS, hot_rows)
         .filter(F.col(at) > F.col("__after"))
         .groupBy(key)
         .agg(F.min(at).alias(name))

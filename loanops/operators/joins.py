@@ -20,6 +20,8 @@ HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 10_000
 # Upper limit of cells per side of one hot key.
 MAX_CELLS = 4096
+# Column with the number of rows, in tables that stand for the keys of a larger one.
+ROWS = "__n"
 # Rows with a null key never match; an outer join still has to place them somewhere.
 NULL_CELLS = 256
 
@@ -69,7 +71,8 @@ def spread_join(
     the only broadcast: at most ``MAX_HOT_KEYS`` rows. Column names of the two sides must differ.
 
     ``hot`` names the sides that may have many rows per key; only those are counted, in one pre-aggregated
-    pass. ``left_keys`` / ``right_keys``: a cheaper table with the same keys and row counts to count instead.
+    pass. ``left_keys`` / ``right_keys``: a cheaper table with the same keys to count instead, by rows or by its
+    ``ROWS`` column if it has one. Its counts may be too high; which keys it has must be exact for a full join.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
@@ -154,10 +157,11 @@ def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged:
 
 
 def _key_rows(frame: DataFrame, on: Sequence[str], names: Sequence[str], left: int, right: int) -> DataFrame:
+    rows = F.col(ROWS) if ROWS in frame.columns else F.lit(1)
     return frame.select(
         *[F.col(c).alias(n) for c, n in zip(on, names)],
-        F.lit(left).cast("long").alias("__l"),
-        F.lit(right).cast("long").alias("__r"),
+        (rows * left).cast("long").alias("__l"),
+        (rows * right).cast("long").alias("__r"),
     )
 
 

@@ -9,12 +9,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanops import constants as C
-from loanops.functions.rules import nan_to_null
 from loanops.functions.timekit import day, to_business_time
 from loanops.operators.aggregates import flag_any
-from loanops.operators.history import extremes, group_max_rows, rows_at, with_group_min
+from loanops.operators.history import group_max_rows, with_group_min
 from loanops.operators.joins import HOT_ROWS, Dimension, left_dims, spread_join
-from loanops.plans.journey import APPLICATION_LIMITS
+from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes
 
 FUNNEL_COLUMNS = (
     "account_holderpan",
@@ -141,16 +140,6 @@ def platform_leads(t: Mapping[str, DataFrame], platform_id) -> DataFrame:
     return left_dims(leads, _names(t))
 
 
-def first_leads(leads: DataFrame, portfolio: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each person's lead rows at the first portfolio time, ties kept; persons without portfolio drop out."""
-    portfolio = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
-    narrow = leads.select("lead_id", "pan").join(
-        portfolio.select("__lead_id", "created_on"), F.col("lead_id") == F.col("__lead_id"), "inner"
-    )
-    rows = spread_join(leads, portfolio, ["lead_id"], ["__lead_id"], "left", hot="right", hot_rows=hot_rows)
-    return rows_at(rows.drop("__lead_id"), extremes(narrow, ["pan"], "created_on", "min"), ["pan"], "created_on")
-
-
 def platform_lead_funnel(
     t: Mapping[str, DataFrame],
     portfolio: DataFrame,
@@ -165,13 +154,14 @@ def platform_lead_funnel(
     """
     leads = platform_leads(t, platform_id)
     messages = latest_message_status(t["communication_message_records"])
+    best = person_extremes(leads, portfolio, "created_on", "min")
     first = spread_join(
-        first_leads(leads, portfolio, hot_rows),
+        leads_at(leads, portfolio, best, "created_on", hot_rows),
         messages,
         ["email_id"],
         ["primary_recipient"],
         "left",
-        left_keys=_portfolio_keys(leads, portfolio, "email_id"),
+        left_keys=leads.select("lead_id", "email_id").join(portfolio.select("lead_id"), "lead_id", "left"),
         hot_rows=hot_rows,
     )
     first = first.withColumnsRenamed({c: _LEAD + c for c in first.columns})
@@ -185,7 +175,7 @@ def platform_lead_funnel(
         [_LEAD + "pan"],
         "full",
         left_keys=applicants.join(pans, "account_id"),
-        right_keys=_portfolio_keys(leads, portfolio, "pan", "inner").withColumnRenamed("pan", _LEAD + "pan"),
+        right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
         hot_rows=hot_rows,
     )
 
@@ -220,8 +210,3 @@ def platform_lead_funnel(
         lead("email_status").alias("email_status"),
     )
     return rows.filter((F.col("created_on") >= day(start)) | (F.col("completed_on") >= day(start))).select(*FUNNEL_COLUMNS)
-
-
-def _portfolio_keys(leads: DataFrame, portfolio: DataFrame, column: str, how: str = "left") -> DataFrame:
-    """``column`` once per lead and portfolio row: a bound on the rows of the first leads."""
-    return leads.select("lead_id", column).join(portfolio.select("lead_id"), "lead_id", how).select(column)

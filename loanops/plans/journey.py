@@ -200,17 +200,20 @@ _FILLED = (
 _LEAD = "lead__"
 
 
-def latest_leads(leads: DataFrame, portfolio: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Each person's lead rows at the latest portfolio time, ties kept.
+def person_extremes(leads: DataFrame, portfolio: DataFrame, by: str, which: str) -> DataFrame:
+    """Per person with a portfolio row, the latest or first portfolio time. Used twice, so computed once."""
+    narrow = leads.select("lead_id", "pan").join(portfolio.select("lead_id", by), "lead_id", "inner")
+    return settle(extremes(narrow, ["pan"], by, which))
+
+
+def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Each person's lead rows at that time, ties kept.
 
     Only persons with a portfolio row take part; one whose times are all missing keeps every lead row.
     """
-    portfolio = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
-    narrow = leads.select("lead_id", "pan").join(
-        portfolio.select("__lead_id", "last_updated_on"), F.col("lead_id") == F.col("__lead_id"), "inner"
-    )
-    rows = spread_join(leads, portfolio, ["lead_id"], ["__lead_id"], "left", hot="right", hot_rows=hot_rows)
-    return rows_at(rows.drop("__lead_id"), extremes(narrow, ["pan"], "last_updated_on"), ["pan"], "last_updated_on")
+    side = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
+    rows = spread_join(leads, side, ["lead_id"], ["__lead_id"], "left", hot="right", hot_rows=hot_rows)
+    return rows_at(rows.drop("__lead_id"), best, ["pan"], by)
 
 
 def customer_journey(
@@ -228,15 +231,13 @@ def customer_journey(
     ``applications`` from a cheaper plan, to find hot persons. The sanctioned limit belongs to the
     application, so it is joined before the full join, where no key is missing.
     """
-    latest = latest_leads(leads, portfolio, hot_rows)
+    best = person_extremes(leads, portfolio, "last_updated_on", "max")
+    latest = leads_at(leads, portfolio, best, "last_updated_on", hot_rows)
     latest = latest.withColumnsRenamed({c: _LEAD + c for c in latest.columns})
     limits = sanctioned.withColumnRenamed("application_id", "__app")
     applications = nan_to_null(applications)
     applications = applications.join(limits, F.col("application_id") == F.col("__app"), "left").drop("__app")
-    # Every person with a portfolio row has a latest row, so these counts bound that side and tell presence.
-    with_portfolio = leads.select("lead_id", F.col("pan").alias(_LEAD + "pan")).join(
-        portfolio.select("lead_id"), "lead_id", "inner"
-    )
+    # Every person with a portfolio row has a latest row, so their counts bound that side and tell presence.
     both = spread_join(
         applications,
         latest,
@@ -244,7 +245,7 @@ def customer_journey(
         [_LEAD + "pan"],
         "full",
         left_keys=persons,
-        right_keys=with_portfolio,
+        right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
         hot_rows=hot_rows,
     )
 

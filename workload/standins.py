@@ -220,17 +220,23 @@ STANDINS = {
 }
 
 
-def standin(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    sql = STANDINS[name]
-    tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in BASE if "{" + t + "}" in sql}
-    return spark.sql(sql.replace("{ntz}", "timestamp_ntz"), **tables)
+_OPEN: dict[tuple[str, str], Tables] = {}
 
 
 def tables(spark: SparkSession, folder: str) -> Tables:
-    """Given tables and stand-ins under one roof."""
-    base = {t: (lambda t=t: spark.read.parquet(f"{folder}/{t}.parquet")) for t in BASE}
-    derived = {n: (lambda n=n: standin(spark, folder, n)) for n in STANDINS}
-    return Tables(base | derived)
+    """Given tables and stand-ins under one roof; opened once per session, as plans, not as data."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _OPEN:
+
+        def derive(name: str) -> DataFrame:
+            sql = STANDINS[name]
+            inputs = {t: opened[t] for t in BASE if "{" + t + "}" in sql}
+            return spark.sql(sql.replace("{ntz}", "timestamp_ntz"), **inputs)
+
+        base = {t: (lambda t=t: spark.read.parquet(f"{folder}/{t}.parquet")) for t in BASE}
+        opened = Tables(base | {n: (lambda n=n: derive(n)) for n in STANDINS})
+        _OPEN[key] = opened
+    return _OPEN[key]
 
 
 def oracle(body: str) -> str:
