@@ -12,6 +12,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Both sides of a join on (group, value) are exchanged, so a hot partition can be split.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # Split a hot join partition even where that costs one more exchange behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
