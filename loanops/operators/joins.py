@@ -129,10 +129,10 @@ def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str,
     settled = F.col("__hot").isNotNull()
     spot = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashables(rows)), F.lit(NULL_CELLS))
     marked = marked.withColumns(
-        {f"__c{i}": F.when(~settled, F.col(k)) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0)}
+        {f"__c{i}": F.when(~settled, F.col(k)) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0).cast("int")}
     )
     side = groups.select(
-        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), F.lit(0).cast("long").alias("__side")
+        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), _zero(groups, keys).alias("__side")
     )
     condition = F.col("__cell") == F.col("__side")
     for i in range(len(keys)):
@@ -189,6 +189,11 @@ def _hashables(frame: DataFrame) -> list[Column]:
     return [F.col(f.name) for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
 
 
+def _zero(frame: DataFrame, on: Sequence[str]) -> Column:
+    """0 as a join key. A literal would be folded away, and the cells of the other side with it."""
+    return F.pmod(F.hash(*[frame[c] for c in on]), F.lit(1))
+
+
 def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
     """Give each row its cell, and copy it along the other side's cells of a hot key."""
     columns = frame.columns
@@ -206,5 +211,5 @@ def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
         .alias(f"__{tag}_own"),
         F.coalesce(F.col(other), F.lit(1)).alias("__span"),
     )
-    cell = F.explode(F.sequence(F.lit(0), F.col("__span") - 1)) if copies else F.lit(0)
+    cell = F.explode(F.sequence(F.lit(0), F.col("__span") - 1)) if copies else _zero(frame, on)
     return placed.withColumn(f"__{tag}_other", cell).drop("__span")

@@ -45,7 +45,17 @@ def partner_payout_check(t: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -
     """Payment spans and partner master in full outer join; the account number trimmed and bracketed."""
     spans = payment_spans(t["payout_transactions"])
     master = partner_status(t).withColumnRenamed("partner_account_id", "__partner")
-    both = spread_join(spans, master, ["partner_account_id"], ["__partner"], "full", hot="left", hot_rows=hot_rows)
+    paid = t["payout_transactions"].filter(F.col("payment_date").isNotNull())
+    both = spread_join(
+        spans,
+        master,
+        ["partner_account_id"],
+        ["__partner"],
+        "full",
+        hot="left",
+        left_keys=paid.select(F.col("destination_id").alias("partner_account_id")),
+        hot_rows=hot_rows,
+    )
     return both.withColumns(
         {
             "partner_account_id": F.coalesce("partner_account_id", "__partner"),

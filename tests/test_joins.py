@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+from collections import defaultdict
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,14 +67,53 @@ def test_two_keys(sides):
     assert rows_of(spread) == rows_of(plain)
 
 
-def test_hot_rows_land_in_many_partitions(sides):
-    """The rows of the hot key and of null keys are hashed by cell, not by key alone."""
+@pytest.fixture
+def shuffled(spark):
+    """No broadcast of the joined sides by size, no merging of small partitions."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def _spread(frame, column):
+    """Output partitions per key; all columns are read, so that the optimizer cannot drop the other side."""
+    parts = defaultdict(set)
+    for row in frame.withColumn("part", F.spark_partition_id()).collect():
+        parts[row[column]].add(row["part"])
+    return {key: len(found) for key, found in parts.items()}
+
+
+@pytest.mark.parametrize("hot", ["left", "both"])
+def test_hot_and_null_keys_land_in_many_partitions(sides, shuffled, hot):
+    left, right = sides
+    right = right.filter("r is not null").groupBy("r").agg(F.max("b").alias("b"))
+    plain = _spread(left.join(right, left["k"] == right["r"], "left"), "k")
+    assert plain[7] == plain[None] == 1
+    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot=hot, hot_rows=30), "k")
+    assert parts[7] > 4 and parts[None] > 4 and parts[5] == 1
+
+
+def test_hot_right_rows_land_in_many_partitions(sides, shuffled):
     left, right = sides
-    marks = joins._hottest(left.groupBy(F.col("k").alias("__k0")).agg(F.count("*").alias("__l")), ["__k0"], "__l", 10)
-    marks = marks.select("__k0", joins._cells("__l", 10).alias("__rows"), F.lit(1).alias("__cols"), F.lit(True).alias("__met"))
-    placed = joins._place(left, ["k"], marks, ["__k0"], "__rows", "__cols", False, "l")
-    cells = {r["k"]: r["n"] for r in placed.groupBy("k").agg(F.count_distinct("__l_own").alias("n")).collect()}
-    assert cells[7] > 10 and cells[None] > 3
+    left = left.groupBy("k").agg(F.max("a").alias("a")).select("a", "k")
+    left = left.unionAll(left.sparkSession.range(200).select("id", F.lit(None).cast("long")))
+    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot="right", hot_rows=5), "k")
+    assert parts[7] > 4 and parts[None] > 4
+
+
+def test_attached_hot_rows_land_in_many_partitions(sides, shuffled):
+    left, _ = sides
+    groups = left.groupBy("k").agg(F.min("a").alias("low"), F.count("*").alias("n"))
+    parts = _spread(joins.attach(left, groups, ["k"], "n", 30), "k")
+    assert parts[7] > 4 and parts[5] == 1
 
 
 def test_same_column_on_both_sides_is_refused(sides):
