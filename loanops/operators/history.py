@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from loanops.operators.joins import HOT_ROWS, ROWS, attach
 
+# Column with a group's extreme value.
+BEST = "__best"
+
 
 def latest_row(frame: DataFrame, keys: Sequence[str], by: str, nulls_first: bool = True) -> DataFrame:
     """One row per key: the latest by ``by``; all other columns break ties, so the choice is repeatable.
@@ -40,12 +43,12 @@ def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str,
 
 
 def extremes(frame: DataFrame, keys: Sequence[str], by: str, which: str = "max") -> DataFrame:
-    """Per group the extreme of ``by`` as ``__best`` (null if it has no value) and its row count.
+    """Per group the extreme of ``by`` (null if it has no value) and its row count.
 
     Groups with a null key drop out.
     """
     best = F.max if which == "max" else F.min
-    return frame.filter(_present(keys)).groupBy(*keys).agg(best(by).alias("__best"), F.count("*").alias(ROWS))
+    return frame.filter(_present(keys)).groupBy(*keys).agg(best(by).alias(BEST), F.count("*").alias(ROWS))
 
 
 def rows_at(frame: DataFrame, best: DataFrame, keys: Sequence[str], by: str) -> DataFrame:
@@ -54,8 +57,8 @@ def rows_at(frame: DataFrame, best: DataFrame, keys: Sequence[str], by: str) ->
     The join is on group and value together, so only equal rows meet in one partition, and as the extremes
     are partitioned by group alone both sides are exchanged: the adaptive skew join can split it.
     """
-    side = best.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], "__best")
-    condition = frame[by].eqNullSafe(side["__best"])
+    side = best.select(*[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], BEST)
+    condition = frame[by].eqNullSafe(side[BEST])
     for i, key in enumerate(keys):
         condition = condition & (frame[key] == side[f"__g{i}"])
     return frame.join(side, condition, "inner").select(*frame.columns)

@@ -12,9 +12,10 @@ from loanops import constants as C
 from loanops.functions.timekit import day, to_business_time
 from loanops.operators.aggregates import flag_any
 from loanops.operators.history import group_max_rows, with_group_min
-from loanops.operators.joins import HOT_ROWS, Dimension, left_dims, spread_join
-from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes
+from loanops.operators.joins import HOT_ROWS, ROWS, Dimension, left_dims, spread_join
+from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes, persons_of
 
+# Columns of the funnel, in published order.
 FUNNEL_COLUMNS = (
     "account_holderpan",
     "account_holder_phone_number",
@@ -161,20 +162,19 @@ def platform_lead_funnel(
         ["email_id"],
         ["primary_recipient"],
         "left",
-        left_keys=leads.select("lead_id", "email_id").join(portfolio.select("lead_id"), "lead_id", "left"),
+        left_keys=leads.select("pan", "email_id").distinct().join(best.select("pan", ROWS), "pan").select("email_id", ROWS),
         hot_rows=hot_rows,
     )
     first = first.withColumnsRenamed({c: _LEAD + c for c in first.columns})
     # Cheaper tables with the same persons on either side, to find hot ones.
-    applicants = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE).select("account_id")
-    pans = t["borrower_accounts"].select("account_id", F.col("account_holderpan").alias("app_pan"))
+    applications = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE)
     both = spread_join(
         application_funnel(t, house_name, hot_rows),
         first,
         ["app_pan"],
         [_LEAD + "pan"],
         "full",
-        left_keys=applicants.join(pans, "account_id"),
+        left_keys=persons_of(t, applications),
         right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
         hot_rows=hot_rows,
     )

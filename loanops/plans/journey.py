@@ -25,8 +25,8 @@ from loanops.functions.rules import (
 )
 from loanops.functions.timekit import period, since_instant
 from loanops.operators.aggregates import median_of_counts, value_counts
-from loanops.operators.history import extremes, latest_row, rows_at
-from loanops.operators.joins import HOT_ROWS, Dimension, left_dims, spread_join
+from loanops.operators.history import BEST, extremes, latest_row
+from loanops.operators.joins import HOT_ROWS, ROWS, Dimension, left_dims, spread_join
 from loanops.session import settle
 
 
@@ -113,9 +113,14 @@ def _application_rows(t: Mapping[str, DataFrame], step: str | None) -> DataFrame
 
 
 def application_persons(t: Mapping[str, DataFrame], step: str | None = None) -> DataFrame:
-    """``app_pan`` of the rows of ``application_facts``, without its other joins."""
+    """``app_pan`` of ``application_facts`` with row counts, from one row per account and without its other joins."""
+    return persons_of(t, _application_rows(t, step))
+
+
+def persons_of(t: Mapping[str, DataFrame], applications: DataFrame) -> DataFrame:
+    accounts = applications.groupBy("account_id").agg(F.count("*").alias(ROWS))
     borrower = Dimension(t["borrower_accounts"], "account_id", "account_id", {"app_pan": "account_holderpan"})
-    return left_dims(_application_rows(t, step).select("account_id"), [borrower]).select("app_pan")
+    return left_dims(accounts, [borrower]).select("app_pan", ROWS)
 
 
 def application_facts(t: Mapping[str, DataFrame], platforms: Platforms, step: str | None = None) -> DataFrame:
@@ -165,6 +170,7 @@ def sanctioned_amounts(t: Mapping[str, DataFrame]) -> DataFrame:
 
 # ---------------------------------------------------------------- the journey
 
+# Columns of the journey, in published order.
 JOURNEY_COLUMNS = (
     "pan",
     "platform_name",
@@ -201,19 +207,30 @@ _LEAD = "lead__"
 
 
 def person_extremes(leads: DataFrame, portfolio: DataFrame, by: str, which: str) -> DataFrame:
-    """Per person with a portfolio row, the latest or first portfolio time. Used twice, so computed once."""
-    narrow = leads.select("lead_id", "pan").join(portfolio.select("lead_id", by), "lead_id", "inner")
-    return settle(extremes(narrow, ["pan"], by, which))
+    """Per person with a portfolio row, the latest or first portfolio time and the number of rows.
+
+    The portfolio is reduced to one row per lead before it meets the leads. Used twice, so computed once.
+    """
+    per_lead = extremes(portfolio, ["lead_id"], by, which)
+    persons = leads.select("lead_id", "pan").filter(F.col("pan").isNotNull()).join(per_lead, "lead_id", "inner")
+    best = F.max if which == "max" else F.min
+    return settle(persons.groupBy("pan").agg(best(BEST).alias(BEST), F.sum(ROWS).alias(ROWS)))
 
 
 def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Each person's lead rows at that time, ties kept.
 
-    Only persons with a portfolio row take part; one whose times are all missing keeps every lead row.
+    Only persons with a portfolio row take part; one whose times are all missing keeps every lead row, also
+    those without portfolio. The time is part of the join with the portfolio, so rows of other times go no further.
     """
     side = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
-    rows = spread_join(leads, side, ["lead_id"], ["__lead_id"], "left", hot="right", hot_rows=hot_rows)
-    return rows_at(rows.drop("__lead_id"), best, ["pan"], by)
+    known = best.select(F.col("pan").alias("__pan"), BEST)
+    persons = spread_join(leads, known, ["pan"], ["__pan"], "inner", hot="left", hot_rows=hot_rows).drop("__pan")
+    dated = persons.join(side, (persons["lead_id"] == side["__lead_id"]) & side[by].eqNullSafe(persons[BEST]), "inner")
+    # Persons without any time: all of their portfolio rows have none, so only such rows can tell who has one.
+    untimed = side.filter(F.col(by).isNull()).select("__lead_id").distinct()
+    bare = persons.filter(F.col(BEST).isNull()).join(untimed, F.col("lead_id") == F.col("__lead_id"), "left_anti")
+    return dated.drop("__lead_id").unionByName(bare, allowMissingColumns=True).drop(BEST)
 
 
 def customer_journey(
@@ -227,8 +244,8 @@ def customer_journey(
 ) -> DataFrame:
     """Each person's latest lead rows against all their applications, judged, with eligible journeys kept.
 
-    The application wins where both sides have a value. ``persons``: the column ``app_pan`` of
-    ``applications`` from a cheaper plan, to find hot persons. The sanctioned limit belongs to the
+    The application wins where both sides have a value. ``persons``: the persons of
+    ``applications`` with row counts, from a cheaper plan, to find hot ones. The sanctioned limit belongs to the
     application, so it is joined before the full join, where no key is missing.
     """
     best = person_extremes(leads, portfolio, "last_updated_on", "max")

@@ -20,11 +20,12 @@ def with_row_number(frame: DataFrame, order: Sequence[str | Column], name: str =
     """Rows numbered from 0 in ``order``, without sorting everything in one task.
 
     Range-partitioned sort, then offsets from the partition sizes. Needs a checkpoint folder: numbers are
-    taken from one fixed run. A hidden last sort key lets equal rows spread over several ranges.
+    taken from one fixed run. A hidden last sort key lets rows of equal order spread over several ranges; it
+    follows content and input partition, so a retried task repeats it.
     """
     if not checkpoint_folder(frame.sparkSession):
         raise RuntimeError("set spark.checkpoint.dir")
-    tie = F.monotonically_increasing_id()
+    tie = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in frame.columns])
     ranged = frame.withColumn("__tie", tie).orderBy(*order, "__tie").drop("__tie")
     fixed = ranged.withColumn("__at", F.monotonically_increasing_id()).checkpoint()
     # The generated id holds the partition above bit 33 and the position below.

@@ -146,28 +146,47 @@ def test_left_dims_and_semi(make):
     assert rows_of(joins.semi_ids(fact, dim.limit(0), "k", "key")) == []
 
 
-def test_adaptive_skew_split_applies(spark, sides):
-    """The join on group and value is one that the adaptive skew join can split, also before an aggregate."""
+@pytest.fixture
+def skew_settings(spark):
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2KB",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB",
-        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1",
     }
     before = {k: spark.conf.get(k, None) for k in settings}
     for key, value in settings.items():
         spark.conf.set(key, value)
-    try:
-        frame = spark.range(30000, numPartitions=8).select(
-            F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("person"), F.least(F.col("id"), F.lit(0)).alias("at"), "id"
-        )
-        kept = rows_at(frame, extremes(frame, ["person"], "at"), ["person"], "at")
-        total = kept.groupBy("person").count()
-        assert total.agg(F.sum("count")).first()[0] == 30000
-        kept.collect()
-        assert "skew=true" in kept._jdf.queryExecution().executedPlan().toString()
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def _hot_person(spark):
+    return spark.range(30000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("person"),
+        F.least(F.col("id"), F.lit(0)).alias("at"),
+        F.xxhash64("id").alias("id"),
+    )
+
+
+def _final_plan(frame):
+    frame.collect()
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_adaptive_skew_split_of_group_extremes(spark, skew_settings):
+    """The join on group and value is one that the adaptive skew join can split, also before an aggregate."""
+    frame = _hot_person(spark)
+    kept = rows_at(frame, extremes(frame, ["person"], "at"), ["person"], "at")
+    assert kept.count() == 30000
+    assert "skew=true" in _final_plan(kept)
+    assert "skew=true" in _final_plan(kept.groupBy("person", "at").agg(F.max("id")))
+
+
+def test_adaptive_skew_split_of_dimension_joins(spark, skew_settings):
+    fact = _hot_person(spark)
+    dim = spark.range(40000, numPartitions=4).select(F.col("id").alias("key"), F.xxhash64("id").alias("name"))
+    joined = joins.left_dims(fact, [joins.Dimension(dim, "person", "key", {"name": "name"})])
+    assert "skew=true" in _final_plan(joined)

@@ -488,6 +488,32 @@ def _(t):
     return t["events"].select("event_id", timekit.whole_days(timekit.instant(EVENTS_AS_OF), F.col("ts")).alias("whole_days"))
 
 
+@query(
+    "g9_interval_shift",
+    """select event_id, ts + interval '30 minutes' as half_hour_on, ts + interval '4 hours' as hours_on, ts - interval '7 days' as week_back,
+       ts - interval '2 months' as months_back from events""",
+)
+def _(t):
+    ts = F.col("ts")
+    return t["events"].select(
+        "event_id",
+        (ts + F.lit(timedelta(minutes=30))).alias("half_hour_on"),
+        (ts + F.lit(timedelta(hours=4))).alias("hours_on"),
+        (ts - F.lit(timedelta(days=7))).alias("week_back"),
+        (ts - F.make_ym_interval(F.lit(0), F.lit(2))).alias("months_back"),
+    )
+
+
+@query(
+    "g10_text_to_time",
+    """select event_id, try_cast(text as timestamp) as moment from (select event_id,
+       case when event_id % 9 = 0 then 'n/a' else strftime(ts, '%Y-%m-%d %H:%M:%S') end as text from events)""",
+)
+def _(t):
+    text = F.when(F.col("event_id") % 9 == 0, "n/a").otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))
+    return t["events"].select("event_id", text.try_cast("timestamp_ntz").alias("moment"))
+
+
 @query("g11_ist", f"select event_id, ts + {OFFSET} as local_on, cast(ts + {OFFSET} as date) as local_day from events")
 def _(t):
     local = timekit.to_business_time(F.col("ts"))
@@ -610,3 +636,16 @@ def _(t):
         F.expr("nullif(o_orderkey % 6, 0)"), F.expr("nullif(o_orderkey % 4, 0)"), kind, [1, 2]
     )
     return t["orders"].select("o_orderkey", channel.alias("channel"))
+
+
+_RAW_PHONE = "case c_custkey % 4 when 0 then '0' when 1 then '+91-' when 2 then ' ' else '91' end || cast(5000000000 + c_custkey * 3141592 as string)"
+_DIGITS = f"regexp_replace(regexp_replace({_RAW_PHONE}, '[^0-9]', '', 'g'), '^0+', '')"
+
+
+@query(
+    "h5_phone",
+    f"""select c_custkey, case when regexp_full_match(bare, '[6-9][0-9]{{9}}') then bare end as phone from (select c_custkey,
+        case when length(digits) > 10 then regexp_replace(digits, '^91', '') else digits end as bare from (select c_custkey, {_DIGITS} as digits from customer))""",
+)
+def _(t):
+    return t["customer"].select("c_custkey", rules.valid_phone(F.expr(_RAW_PHONE)).alias("phone"))

@@ -265,3 +265,11 @@ def _(t):
 @query("j15_scoreboard", BOARDS["j15_scoreboard"])
 def _(t):
     return sla.scoreboard(t, TERMS, AS_OF).drop("update_date")
+
+
+_SHOWN = ", ".join(f'{column} as "{name}"' for column, name in sla.BOARD_DISPLAY.items())
+
+
+@query("e3_scoreboard_display", f"select {_SHOWN} from ({BOARDS['j15_scoreboard']})")
+def _(t):
+    return sla.scoreboard(t, TERMS, AS_OF, display=True)
