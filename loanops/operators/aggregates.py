@@ -94,8 +94,8 @@ def count_columns(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def flag_any(test: Column) -> Column:
-    """'Y' if the test holds for some row of the group, else 'N'."""
-    return F.max(F.when(test, "Y").otherwise("N"))
+    """'Y' if the test holds for some row of the group, else 'N'. A flag, unlike a string, aggregates by hash."""
+    return F.when(F.bool_or(test), "Y").otherwise("N")
 
 
 def mean(value: str) -> Column:

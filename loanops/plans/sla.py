@@ -513,3 +513,18 @@ def scoreboard(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, display: b
     if not display:
         return board.select(*BOARD_COLUMNS)
     return board.select(*BOARD_DISPLAY).withColumnsRenamed(BOARD_DISPLAY)
+
+
+def published_reports(t: Mapping[str, DataFrame], terms: LenderTerms, as_of) -> dict[str, DataFrame]:
+    """The seven cubes and the scoreboard of one run by their published titles."""
+    # Titles of the published tables.
+    return {
+        "Data Withdrawal": withdrawals(t, as_of),
+        "Data Repayments": repayments(t, as_of),
+        "Data Lien Removal": lien_removals(t, terms, as_of),
+        "Data Foreclosure": foreclosures(t, terms, as_of),
+        "Data Account Opening": account_openings(t, terms, as_of),
+        "Data Lodgement": lodgements(t, terms, as_of),
+        "Data Enhancement": enhancements(t, as_of),
+        "Aggregate sheet Overall Data": scoreboard(t, terms, as_of, display=True),
+    }

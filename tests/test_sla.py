@@ -246,3 +246,5 @@ def test_display_names_and_order(credits, make):
     board = sla.scoreboard(t, TERMS, NOW, display=True)
     assert board.columns[0] == "Request Type" and board.columns[-1] == "Lender" and len(board.columns) == 11
     assert board.count() == 6
+    published = sla.published_reports(t, TERMS, NOW)
+    assert len(published) == 8 and published["Data Lodgement"].agg(F.sum("count")).first()[0] == 7
