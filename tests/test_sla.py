@@ -248,3 +248,18 @@ def test_display_names_and_order(credits, make):
     assert board.count() == 6
     published = sla.published_reports(t, TERMS, NOW)
     assert len(published) == 8 and published["Data Lodgement"].agg(F.sum("count")).first()[0] == 7
+
+
+def test_lookback_reaches_both_scans_below_the_joins(spark, credits, make, tmp_path):
+    make(REQUESTS, []).write.parquet(str(tmp_path / "r"))
+    credits["credit_main"].write.parquet(str(tmp_path / "m"))
+    credits["credit_audit"].write.parquet(str(tmp_path / "a"))
+    t = {
+        "revocation_requests": spark.read.parquet(str(tmp_path / "r")),
+        "credit_main": spark.read.parquet(str(tmp_path / "m")),
+        "credit_audit": spark.read.parquet(str(tmp_path / "a")),
+    }
+    for frame in (sla.lien_removals(t, TERMS, NOW), sla.lodgements(t, TERMS, NOW)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(created_on,2024-01-30T00:00)" in plan
+    assert "In(credit_status, [ACTIVE,APPROVED_NOT_DISBURSED,PENDING_CLOSURE" in plan
