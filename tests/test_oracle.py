@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 from workload import compare
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+QUERIES, ORACLES = entry_point.QUERIES, entry_point.ORACLES
 
 
 @pytest.fixture(scope="module")
