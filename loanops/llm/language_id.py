@@ -6,8 +6,8 @@ log posterior(l) = TEXT_WEIGHT * log P(letter trigrams | l) + log P(declared | l
   counted over all documents by declared language. Trigrams overlap, so their sum is weighted by a third.
 * Declared language: counts (language by text, declared value) over all documents, smoothed.
 * Prior: counts of the languages by text on the host, smoothed towards those of its address suffix, and these
-  towards all documents (``KAPPA`` pseudo-documents each). Grouped aggregations; a hot host is pre-aggregated, and the
-  join of documents and priors has two exchanged sides, so Spark can split it.
+  towards all documents (``KAPPA`` pseudo-documents each). Grouped aggregations; a hot host is pre-aggregated. Priors
+  of up to ``BROADCAST_HOSTS`` hosts are broadcast; of more, the join has two exchanged sides, which Spark can split.
 * ``und`` (no known language) gives every bucket the same probability and has the prior ``UND_PRIOR``.
 
 A document is kept if its best language is not ``und`` and has a posterior of at least ``LEAST_POSTERIOR``.
@@ -37,6 +37,7 @@ TEXT_WEIGHT = 1 / 3
 KAPPA = 20.0
 UND_PRIOR = 1e-3
 LEAST_POSTERIOR = 0.5
+BROADCAST_HOSTS = 100_000  # priors of up to so many hosts are broadcast (at most about 20 MB), of more are joined by shuffle
 
 LETTERS = ASCII_LOWER.copy()
 LETTERS[[b for b in range(128) if not (65 <= b <= 90 or 97 <= b <= 122)]] = 0x20
@@ -92,50 +93,45 @@ def trigram_model(docs: DataFrame, text_column: str, declared_column: str, langu
     return np.log(counts / counts.sum(1, keepdims=True)).astype(np.float32)
 
 
-def with_text_evidence(docs: DataFrame, model: np.ndarray, text_column: str, name: str) -> DataFrame:
-    """``docs`` and the weighted log likelihoods of its text (languages, then ``und``); null without letters."""
-    arrow_sized(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
-    at = docs.columns.index(text_column)
-    kinds = model.shape[0]
+def text_evidence(column: pa.Array, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weighted log likelihoods of each text (languages, then ``und``), and its number of trigrams. ``table`` has a row for each bucket."""
+    sums = np.zeros((len(column), table.shape[1]))
+    seen = np.zeros(len(column), np.int64)
+    for texts in chunks_of(column):
+        buckets, counts = trigrams(texts)
+        full = np.flatnonzero(counts)
+        if len(full):
+            begin = (np.cumsum(counts) - counts)[full]
+            sums[texts.first + full] = np.add.reduceat(table[buckets], begin, axis=0, dtype=np.float64)
+        seen[texts.first : texts.first + len(counts)] = counts
+    return sums * TEXT_WEIGHT, seen
 
-    def run(batches):
-        table = sent.value
-        for batch in batches:
-            sums = np.zeros((batch.num_rows, kinds))
-            seen = np.zeros(batch.num_rows, np.int64)
-            for texts in chunks_of(batch.column(at)):
-                buckets, counts = trigrams(texts)
-                full = np.flatnonzero(counts)
-                if len(full):
-                    begin = (np.cumsum(counts) - counts)[full]
-                    sums[texts.first + full] = np.add.reduceat(table[buckets], begin, axis=0, dtype=np.float64)
-                seen[texts.first : texts.first + len(counts)] = counts
-            ends = np.arange(0, kinds * (batch.num_rows + 1), kinds, dtype=np.int32)
-            values = pa.ListArray.from_arrays(pa.array(ends), pa.array((sums * TEXT_WEIGHT).ravel()), mask=pa.array(seen == 0))
-            yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, name])
 
-    fields = [*docs.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]
-    return docs.mapInArrow(run, T.StructType(fields))
+def _names(best: np.ndarray, names: Sequence[str], known: np.ndarray) -> pa.Array:
+    return pa.array([names[b] if k else None for b, k in zip(best, known, strict=True)], pa.string())
+
 
+def languages_by_text(docs: DataFrame, model: np.ndarray, languages: Sequence[str]) -> DataFrame:
+    """``docs`` (text, declared, host, suffix) with the likeliest language by text in place of the text; texts without letters go."""
+    sent = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model[:-1].T))
+
+    def run(batches):
+        for batch in batches:
+            sums, seen = text_evidence(batch.column(0), sent.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], _names(sums.argmax(1), languages, seen > 0)], [*batch.schema.names[1:], "by_text"])
 
-def _best(values: Column, names: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(n) for n in names]), F.array_position(values, F.array_max(values)).cast("int"))
+    return docs.mapInArrow(run, "declared string, host string, suffix string, by_text string").where(F.col("by_text").isNotNull())
 
 
-def _log_table(counts: dict[str, list[float]], kinds: int) -> Column:
-    """value -> log P(value | language) as a map literal of arrays, from counts (value -> by language); bounded by its callers."""
+def declared_table(counts: dict[str, list[float]], kinds: int) -> dict[str, np.ndarray]:
+    """log P(declared | language) for each declared value; for ``und`` the value is as likely as anywhere."""
     if not counts:
-        return F.create_map().cast("map<string,array<double>>")
-    totals = [sum(c[i] for c in counts.values()) for i in range(kinds)]
-    size = len(counts)
-    cells = []
-    for value in sorted(counts):
-        row = [float(np.log((counts[value][i] + 0.5) / (totals[i] + 0.5 * size))) for i in range(kinds)]
-        # no language is known to be ``und``: the value is as likely there as anywhere
-        every = float(np.log((sum(counts[value]) + 0.5) / (sum(totals) + 0.5 * size)))
-        cells += [F.lit(value), F.array(*[F.lit(x) for x in (*row, every)])]
-    return F.create_map(*cells)
+        return {}
+    names = sorted(counts)
+    table = np.array([counts[k][:kinds] for k in names]) + 0.5
+    given = np.log(table / table.sum(0))
+    anywhere = np.log(table.sum(1) / table.sum())
+    return {k: np.append(given[i], anywhere[i]) for i, k in enumerate(names)}
 
 
 def identify(docs: DataFrame, text_column: str = "text", declared_column: str = "lang", host_column: str | None = "source",
@@ -145,18 +141,12 @@ def identify(docs: DataFrame, text_column: str = "text", declared_column: str =
     kinds = len(languages)
     names = (*languages, UND)
     declared, host, suffix = _own(docs, declared_column, host_column, suffix_column)
+    declared = F.lower(F.trim(declared.cast("string")))
+    suffix = F.coalesce(suffix.cast("string"), F.lit(""))
     model = trigram_model(docs, text_column, declared_column, languages)
-    evidence, key = free_name(docs, "evidence"), free_name(docs, "host_key")
-    slim = docs.select(
-        F.col(f"`{text_column}`").alias("text"),
-        F.lower(F.trim(declared.cast("string"))).alias("declared"),
-        host.cast("string").alias("host"),
-        F.coalesce(suffix.cast("string"), F.lit("")).alias("suffix"),
-    )
-    judged = with_text_evidence(slim, model, "text", "evidence").drop("text").where(F.col("evidence").isNotNull())
-    judged = judged.withColumn("by_text", _best(F.slice("evidence", 1, kinds), languages))
+    slim = docs.select(F.col(f"`{text_column}`").alias("text"), declared.alias("declared"), host.cast("string").alias("host"), suffix.alias("suffix"))
     by_host = settled(
-        judged.groupBy("declared", "host", "suffix", "by_text").agg(F.count(F.lit(1)).alias("docs"))
+        languages_by_text(slim, model, languages).groupBy("declared", "host", "suffix", "by_text").agg(F.count(F.lit(1)).alias("docs"))
     )  # pre-aggregated; everything below is sums of it
 
     def sums(*keys: str) -> DataFrame:
@@ -164,8 +154,8 @@ def identify(docs: DataFrame, text_column: str = "text", declared_column: str =
         return by_host.groupBy(*keys).agg(F.array(*cells).alias("n"))
 
     # at most len(languages) supported declared values
-    told = {r["declared"]: list(r["n"]) for r in sums("declared").where(F.col("declared").isin(*languages)).collect()}
-    overall = np.array((sums().collect() or [{"n": [0.0] * kinds}])[0]["n"]) + 1.0
+    told = declared_table({r["declared"]: list(r["n"]) for r in sums("declared").where(F.col("declared").isin(*languages)).collect()}, kinds)
+    overall = np.array(sums().first()["n"]) + 1.0
     overall = overall / overall.sum()
 
     def smoothed(counts: Column, base: Column) -> Column:
@@ -173,39 +163,47 @@ def identify(docs: DataFrame, text_column: str = "text", declared_column: str =
         return F.zip_with(counts, base, lambda n, p: (n + F.lit(KAPPA) * p) / total)
 
     flat = F.array(*[F.lit(float(p)) for p in overall])
-    suffixes = sums("suffix").select("suffix", smoothed(F.col("n"), flat).alias("suffix_prior"), F.col("n").alias("suffix_n"))
-    hosts = sums("host", "suffix").join(suffixes, "suffix")
-    hosts = hosts.select("host", "suffix", "suffix_prior", smoothed(F.col("n"), F.col("suffix_prior")).alias("prior"))
-    hosts = settled(
-        hosts.where(F.col("host").isNotNull())
-        .select("host", "suffix", "prior")
-        .union(suffixes.select(F.lit(None).cast("string"), "suffix", "suffix_prior"))
+    suffixes = settled(sums("suffix").select("suffix", smoothed(F.col("n"), flat).alias("suffix_prior")))
+    hosts = sums("host", "suffix").where(F.col("host").isNotNull()).join(suffixes, "suffix")
+    hosts = hosts.select("host", "suffix", smoothed(F.col("n"), F.col("suffix_prior")).alias("prior"))
+    key, prior = free_name(docs, "prior_key"), free_name(docs, "prior_log")
+    priors = settled(
+        hosts.union(suffixes.select(F.lit(None).cast("string"), "suffix", "suffix_prior")).select(
+            F.concat_ws("\x01", "suffix", F.lit("h"), "host").alias(key), F.transform("prior", lambda p: F.log(p)).alias(prior)
+        )
     )
+    few = priors.count() <= BROADCAST_HOSTS
+    joined = docs.withColumn(key, F.concat_ws("\x01", suffix, F.lit("h"), host.cast("string")))
+    joined = joined.withColumn(free_name(docs, "prior_told"), declared).join(F.broadcast(priors) if few else priors, key, "left")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], free_name(docs, "prior_told"), prior)
+    at = docs.columns.index(text_column)
+    fallback = np.log(overall)
+    sent = docs.sparkSession.sparkContext.broadcast(np.ascontiguousarray(model.T))
+    added = [f"{prefix}language", f"{prefix}posterior", f"{prefix}text_language", f"{prefix}kept"]
 
-    table = with_text_evidence(docs, model, text_column, evidence)
-    mark = F.concat_ws("\x01", F.coalesce(suffix.cast("string"), F.lit("")), F.lit("h"), host.cast("string"))
-    priors = hosts.select(
-        F.concat_ws("\x01", "suffix", F.lit("h"), "host").alias(key),
-        F.concat(F.transform("prior", lambda p: F.log(p * (1 - UND_PRIOR))), F.array(F.lit(float(np.log(UND_PRIOR))))).alias(free_name(docs, "log_prior")),
-    )
-    prior = F.col(priors.columns[1])
-    joined = table.withColumn(key, mark).join(priors, key, "left")
-    nothing = F.array(*[F.lit(0.0)] * (kinds + 1))
-    fallback = F.array(*[F.lit(float(np.log(p * (1 - UND_PRIOR)))) for p in overall], F.lit(float(np.log(UND_PRIOR))))
-    said = F.coalesce(_log_table(told, kinds)[F.lower(F.trim(declared.cast("string")))], nothing)
-    total = F.zip_with(F.zip_with(F.col(evidence), F.coalesce(prior, fallback), lambda a, b: a + b), said, lambda a, b: a + b)
-    fused = free_name(docs, "fused")
-    joined = joined.withColumn(fused, total)
-    spread = F.aggregate(F.transform(fused, lambda x: F.exp(x - F.array_max(fused))), F.lit(0.0), lambda a, x: a + x)
-    language = F.when(F.col(fused).isNull(), F.lit(UND)).otherwise(_best(F.col(fused), names))
-    posterior = F.when(F.col(fused).isNotNull(), 1 / spread)
-    return joined.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        language.alias(f"{prefix}language"),
-        posterior.alias(f"{prefix}posterior"),
-        F.when(F.col(evidence).isNotNull(), _best(F.slice(evidence, 1, kinds), languages)).alias(f"{prefix}text_language"),
-        (F.coalesce(posterior >= LEAST_POSTERIOR, F.lit(False)) & (language != UND)).alias(f"{prefix}kept"),
-    )
+    def run(batches):
+        nothing = np.zeros(kinds + 1)
+        for batch in batches:
+            *own, said, before = batch.columns
+            text, seen = text_evidence(own[at], sent.value)
+            known = seen > 0
+            known_prior = np.array([fallback if p is None else p for p in before.to_pylist()]).reshape(-1, kinds)
+            prior = np.hstack([known_prior + np.log1p(-UND_PRIOR), np.full((len(text), 1), np.log(UND_PRIOR))])
+            total = text + prior + np.array([told.get(k, nothing) for k in said.to_pylist()]).reshape(-1, kinds + 1)
+            best = total.argmax(1)
+            share = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
+            language = np.where(known, best, kinds)
+            columns = [
+                _names(language, names, np.ones(len(best), bool)),
+                pa.array(share, mask=~known),
+                _names(text[:, :kinds].argmax(1), languages, known),
+                pa.array(known & (best < kinds) & (share >= LEAST_POSTERIOR)),
+            ]
+            yield pa.RecordBatch.from_arrays([*own, *columns], [*batch.schema.names[: len(own)], *added])
+
+    kinds_added = (T.StringType(), T.DoubleType(), T.StringType(), T.BooleanType())
+    fields = [*docs.schema.fields, *(T.StructField(n, k) for n, k in zip(added, kinds_added, strict=True))]
+    return joined.mapInArrow(run, T.StructType(fields))
 
 
 def keep_known_languages(docs: DataFrame, text_column: str = "text", declared_column: str = "lang", host_column: str = "source") -> DataFrame:
