@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanops.session import tune
 
-from . import language_id, mixing, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from . import decontamination, language_id, mixing, near_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
 from .textkit import fold, settled
 from .url_filter import Rule
 
@@ -46,6 +46,12 @@ def _(read):
     )
 
 
+@query("op2_near_dedup")
+def _(read):
+    classes = near_dedup.near_duplicates(read("documents"))
+    return classes.select(F.col("id").alias("doc_id"), "class_id", "class_size")
+
+
 # Fixed values of the query's contract.
 URL_RULES = (
     Rule("com", "/", "allow"),
@@ -89,6 +95,12 @@ def _(read):
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken", "source")
 
 
+@query("op7_decontamination")
+def _(read):
+    hits = decontamination.benchmark_hits(read("documents"), read("benchmark"))
+    return hits.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 @query("op8_language_id")
 def _(read):
     docs = read("documents").select("doc_id", "text", "lang", "source")
