@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanops.session import tune
 
-from . import decontamination, language_id, mixing, near_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from . import decontamination, language_id, lm_scoring, mixing, near_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
 from .textkit import fold, settled
 from .url_filter import Rule
 
@@ -107,6 +107,17 @@ def _(read):
     return language_id.identify(docs).drop("text")
 
 
+@query("op9_lm_scoring")
+def _(read):
+    docs = read("documents").select("doc_id", "text")
+    scored = lm_scoring.score_lm(docs, lm_scoring.train_lm(docs, fold(F.col("doc_id"), 10) != 0))
+    return scored.select(
+        F.col("id").alias("doc_id"),
+        (fold(F.col("id"), 10) == 0).alias("held_out"),
+        *(c for c in scored.columns if c != "id"),
+    )
+
+
 @query("op10_toxicity")
 def _(read):
     docs = read("documents")
