@@ -122,24 +122,25 @@ def seeded(seed: int, value: Column) -> Column:
     return F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), value)), 1, 15), 16, 10).cast("long")
 
 
-def _seat(block: Column) -> Column:
+def _seat(mix: str, block: Column) -> Column:
     """The seat that takes a block in the first pass."""
-    return F.pmod(F.col("mix.stride") * block + F.col("mix.first"), F.col("mix.blocks"))
+    return F.pmod(F.col(f"{mix}.stride") * block + F.col(f"{mix}.first"), F.col(f"{mix}.blocks"))
 
 
-def _times(block: Column) -> Column:
+def _times(mix: str, block: Column) -> Column:
     """How often a block is taken."""
-    return F.greatest(F.lit(0), F.floor((F.col("mix.quota") - _seat(block) + F.col("mix.blocks") - 1) / F.col("mix.blocks"))).cast("long")
+    blocks = F.col(f"{mix}.blocks")
+    return F.greatest(F.lit(0), F.floor((F.col(f"{mix}.quota") - _seat(mix, block) + blocks - 1) / blocks)).cast("long")
 
 
 def mix_sources(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights=WEIGHTS,
                 total: float = TOTAL, most: float = MOST, block: int = BLOCK, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """All columns of ``docs``, plus a struct: size, source_size, target, taken, and begin, block, blocks, stride, first, quota, ends.
+    """All columns of ``docs``, plus a struct ``mix`` as the last one: size, source_size, target, taken, and begin, block, blocks, stride, first, quota, ends.
 
     ``begin`` is the number of words before the document in its source's stream; ``ends`` are the source's seats up to each shard's end.
     """
     id_, text = F.col(f"`{id_column}`"), F.col(f"`{text_column}`")
-    size, piece, order, void, name = (free_name(docs, n) for n in ("mix_size", "mix_piece", "mix_order", "mix_void", "mix_source"))
+    mix, size, piece, order, void, name = (free_name(docs, n) for n in ("mix", "mix_size", "mix_piece", "mix_order", "mix_void", "mix_source"))
     source = F.col(f"`{source_column}`").cast("string")
     turn = seeded(seed, F.coalesce(id_.cast("string"), F.lit("-")))
     sized = docs.withColumns({size: word_count(text), order: turn, void: source.isNull(), name: F.coalesce(source, F.lit(""))})
@@ -164,23 +165,23 @@ def mix_sources(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
         begin.alias("begin"),
         *[F.col(f"{facts}.{c}").alias(c) for c in ("source_size", "target", "block", "blocks", "stride", "first", "quota", "ends")],
     )
-    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias("mix"))
-    start, end, width = F.col("mix.begin"), F.col("mix.begin") + F.col("mix.size"), F.col("mix.block")
+    joined = joined.select(*[F.col(f"`{c}`") for c in docs.columns], mixed.alias(mix))
+    start, end, width = F.col(f"{mix}.begin"), F.col(f"{mix}.begin") + F.col(f"{mix}.size"), F.col(f"{mix}.block")
     own = F.sequence(F.floor(start / width), F.floor((end - 1) / width))
-    words = lambda k: (F.least(end, (k + 1) * width) - F.greatest(start, k * width)) * _times(k)
-    taken = F.when(F.col("mix.size") > 0, F.aggregate(own, F.lit(0).cast("long"), lambda a, k: a + words(k))).otherwise(F.lit(0))
-    return joined.withColumn("mix", F.col("mix").withField("taken", taken.cast("long")))
+    words = lambda k: (F.least(end, (k + 1) * width) - F.greatest(start, k * width)) * _times(mix, k)
+    taken = F.when(F.col(f"{mix}.size") > 0, F.aggregate(own, F.lit(0).cast("long"), lambda a, k: a + words(k))).otherwise(F.lit(0))
+    return joined.withColumn(mix, F.col(mix).withField("taken", taken.cast("long")))
 
 
 def mixed_texts(mixed: DataFrame, text_column: str = "text", most: int = MOST) -> DataFrame:
     """The mix itself: for each pass one row of each document of which blocks were taken, its text cut down to their words."""
-    columns = [c for c in mixed.columns if c != "mix"]
+    *columns, mix = mixed.columns
     text = F.col(f"`{text_column}`")
     turn = free_name(mixed, "mix_pass")
-    passes = mixed.where(F.col("mix.taken") > 0).withColumn(turn, F.explode(F.sequence(F.lit(0), F.lit(int(most) - 1))))
-    taken = lambda k: F.col(turn) * F.col("mix.blocks") + _seat(k) < F.col("mix.quota")
-    start, width = F.col("mix.begin"), F.col("mix.block")
-    own = F.sequence(F.floor(start / width), F.floor((start + F.col("mix.size") - 1) / width))
+    passes = mixed.where(F.col(f"{mix}.taken") > 0).withColumn(turn, F.explode(F.sequence(F.lit(0), F.lit(int(most) - 1))))
+    taken = lambda k: F.col(turn) * F.col(f"{mix}.blocks") + _seat(mix, k) < F.col(f"{mix}.quota")
+    start, width = F.col(f"{mix}.begin"), F.col(f"{mix}.block")
+    own = F.sequence(F.floor(start / width), F.floor((start + F.col(f"{mix}.size") - 1) / width))
     words = F.regexp_extract_all(text, F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     part = F.array_join(F.filter(words, lambda _, i: taken(F.floor((start + i) / width))), "")
     cut = F.when(F.forall(own, taken), text).otherwise(F.regexp_replace(part, r"^[\x20\x09-\x0D]+", ""))
