@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanops.operators.joins import HOT_ROWS, ROWS, attach
+from loanops.operators.joins import HOT_PARTS, ROWS, attach
 
 # Column with a group's extreme value.
 BEST = "__best"
@@ -27,7 +27,7 @@ def latest_row(frame: DataFrame, keys: Sequence[str], by: str, nulls_first: bool
 
 
 def with_group_value(
-    frame: DataFrame, keys: Sequence[str], values: Mapping[str, Column], hot_rows: int = HOT_ROWS
+    frame: DataFrame, keys: Sequence[str], values: Mapping[str, Column], hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """Attach aggregates of its group to every row. Rows with a null key drop out, as in an inner self-join.
 
@@ -35,7 +35,7 @@ def with_group_value(
     and joined back, the hottest by broadcast.
     """
     groups = frame.groupBy(*keys).agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias(ROWS))
-    return attach(frame, groups, keys, ROWS, hot_rows)
+    return attach(frame, groups, keys, ROWS, hot_parts)
 
 
 def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str, **options) -> DataFrame:
@@ -101,7 +101,7 @@ def next_after(
     after: str,
     wanted: str,
     name: str = "next_on",
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Per key, the first time in state ``wanted`` strictly after the last time in state ``after``."""
     is_wanted = F.col(state) == wanted
@@ -113,7 +113,7 @@ def next_after(
     )
     later = history.filter(is_wanted).select(key, at)
     return (
-        attach(later, last, [key], ROWS, hot_rows)
+        attach(later, last, [key], ROWS, hot_parts)
         .filter(F.col(at) > F.col("__after"))
         .groupBy(key)
         .agg(F.min(at).alias(name))

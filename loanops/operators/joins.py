@@ -14,16 +14,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key with more rows than this on one side is spread over several cells.
-HOT_ROWS = 1_000_000
-# Only the hottest keys are listed (and broadcast): any other key holds at most 1 / MAX_HOT_KEYS of the rows.
-MAX_HOT_KEYS = 10_000
-# Upper limit of cells per side of one hot key.
-MAX_CELLS = 4096
+# A key is hot if it holds more than one part in so many of its side's rows. No more than so many keys can, so the list
+# of hot keys is bounded by arithmetic, and each cell of a hot key gets about one such part.
+HOT_PARTS = 1000
 # Column with the number of rows, in tables that stand for the keys of a larger one.
 ROWS = "__n"
-# Rows with a null key never match; an outer join still has to place them somewhere.
-NULL_CELLS = 256
 
 
 @dataclass(frozen=True)
@@ -61,14 +56,15 @@ def spread_join(
     hot: str = "both",
     left_keys: DataFrame | None = None,
     right_keys: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Equi-join (inner, left or full) in which no single task gets all rows of a hot key.
 
     Each hot key becomes a grid of cells: a left row goes to one grid row and is copied along it, a right
     row goes to one grid column and is copied along it, so every pair still meets exactly once. A copy that
     meets nobody in its cell is dropped where the key is known to be on both sides. The list of hot keys is
-    the only broadcast: at most ``MAX_HOT_KEYS`` rows. Column names of the two sides must differ.
+    the only broadcast: at most ``hot_parts`` keys for each counted side. The copies are few against the pairs that a key
+    with many rows on both sides gives. Column names of the two sides must differ.
 
     ``hot`` names the sides that may have many rows per key; only those are counted, in one pre-aggregated
     pass. ``left_keys`` / ``right_keys``: a cheaper table with the same keys to count instead, by rows or by its
@@ -87,15 +83,16 @@ def spread_join(
         counted.append(_key_rows(right if right_keys is None else right_keys, right_on, names, 0, 1))
     sizes = reduce(DataFrame.unionAll, counted).groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
     met = (F.col("__l") > 0) & (F.col("__r") > 0) if hot == "both" else F.lit(True)
-    marks = (
-        _hottest(sizes.withColumn("__n", F.greatest("__l", "__r")), names, "__n", hot_rows)
-        .select(*names, _cells("__l", hot_rows).alias("__rows"), _cells("__r", hot_rows).alias("__cols"), met.alias("__met"))
+    totals = sizes.agg(F.struct(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))).scalar()
+    is_hot = reduce(lambda a, b: a | b, [F.col(n) * hot_parts > totals[n] for n in ("__l", "__r")])
+    marks = sizes.filter(is_hot & _all_present(names)).select(
+        *names, *[_cells(n, totals[n], hot_parts).alias(out) for n, out in (("__l", "__rows"), ("__r", "__cols"))], met.alias("__met")
     )
     placed_left = _place(left, left_on, marks, names, own="__rows", other="__cols", copies=hot != "left", tag="l")
     placed_right = _place(right, right_on, marks, names, own="__cols", other="__rows", copies=hot != "right", tag="r")
     condition = (F.col("__l_own") == F.col("__r_other")) & (F.col("__l_other") == F.col("__r_own"))
     for a, b in zip(left_on, right_on):
-        condition = condition & (placed_left[a] == placed_right[b])
+        condition = condition & (placed_left[f"`{a}`"] == placed_right[f"`{b}`"])
     joined = placed_left.join(placed_right, condition, how)
     if how != "inner":
         lonely_left = F.col("__r_here").isNull() & F.coalesce("__l_met", F.lit(False))
@@ -107,105 +104,107 @@ def spread_join(
             joined = joined.filter(~lonely_left)
         else:
             joined = joined.filter(~(lonely_left | lonely_right))
-    return joined.select(*left.columns, *right.columns)
+    return joined.select(*_named(left.columns), *_named(right.columns))
 
 
-def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, hot_parts: int = HOT_PARTS) -> DataFrame:
     """Inner join of ``rows`` to ``groups``: one row per key, with the number of ``rows`` of that key in ``count``.
 
-    Groups above ``hot_rows`` (at most ``MAX_HOT_KEYS``) are broadcast with their values, and their rows are
-    taken out of the shuffle key; all other rows are joined by key as usual. Columns of ``groups`` other
+    Groups with more than one part in ``hot_parts`` of the rows (no more than ``hot_parts`` groups) are broadcast with their
+    values, and their rows are taken out of the shuffle key; all other rows are joined by key as usual. Columns of ``groups`` other
     than the keys and ``count`` are added to ``rows``.
     """
     values = [c for c in groups.columns if c not in (*keys, count)]
-    found = F.struct(*values)
+    found = F.struct(*_named(values))
     rows = rows.filter(_all_present(keys))
-    hot = _hottest(groups, keys, count, hot_rows).select(
-        *[F.col(k).alias(f"__h{i}") for i, k in enumerate(keys)], found.alias("__hot")
+    total = groups.agg(F.sum(count)).scalar()
+    hot = groups.filter((F.col(count) * hot_parts > total) & _all_present(keys)).select(
+        *[F.col(f"`{k}`").alias(f"__h{i}") for i, k in enumerate(keys)], found.alias("__hot")
     )
     marked = rows.join(F.broadcast(hot), _equal(rows, keys, hot, "__h"), "left").drop(
         *[f"__h{i}" for i in range(len(keys))]
     )
     settled = F.col("__hot").isNotNull()
-    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashables(rows)), F.lit(NULL_CELLS))
+    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashables(rows)), F.lit(_spots(rows)))
     marked = marked.withColumns(
-        {f"__c{i}": F.when(~settled, F.col(k)) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0).cast("int")}
+        {f"__c{i}": F.when(~settled, F.col(f"`{k}`")) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0).cast("int")}
     )
     side = groups.select(
-        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), _zero(groups, keys).alias("__side")
+        *[F.col(f"`{k}`").alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), _zero(groups, keys).alias("__side")
     )
     condition = F.col("__cell") == F.col("__side")
     for i in range(len(keys)):
         condition = condition & (F.col(f"__c{i}") == F.col(f"__g{i}"))
     joined = marked.join(side, condition, "left").withColumn("__got", F.coalesce("__hot", "__found"))
     return joined.filter(F.col("__got").isNotNull()).select(
-        *rows.columns, *[F.col(f"__got.{v}").alias(v) for v in values]
+        *_named(rows.columns), *[F.col(f"__got.`{v}`").alias(v) for v in values]
     )
 
 
 def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged: Sequence[str] = ()) -> DataFrame:
     """Full outer join of two tables with one row per key; keys and ``merged`` columns are taken left first."""
     side = right.withColumnsRenamed({c: f"__r_{c}" for c in right.columns})
-    condition = reduce(lambda a, b: a & b, [left[key] == side[f"__r_{key}"] for key in on])
+    condition = reduce(lambda a, b: a & b, [left[f"`{key}`"] == side[f"`__r_{key}`"] for key in on])
     both = left.join(side, condition, "full")
     shared = [*on, *merged]
     return both.select(
-        *[F.coalesce(F.col(c), F.col(f"__r_{c}")).alias(c) for c in shared],
-        *[F.col(c) for c in left.columns if c not in shared],
-        *[F.col(f"__r_{c}").alias(c) for c in right.columns if c not in shared],
+        *[F.coalesce(F.col(f"`{c}`"), F.col(f"`__r_{c}`")).alias(c) for c in shared],
+        *_named([c for c in left.columns if c not in shared]),
+        *[F.col(f"`__r_{c}`").alias(c) for c in right.columns if c not in shared],
     )
 
 
 def _key_rows(frame: DataFrame, on: Sequence[str], names: Sequence[str], left: int, right: int) -> DataFrame:
     rows = F.col(ROWS) if ROWS in frame.columns else F.lit(1)
     return frame.select(
-        *[F.col(c).alias(n) for c, n in zip(on, names)],
+        *[F.col(f"`{c}`").alias(n) for c, n in zip(on, names)],
         (rows * left).cast("long").alias("__l"),
         (rows * right).cast("long").alias("__r"),
     )
 
 
-def _hottest(sizes: DataFrame, keys: Sequence[str], count: str, hot_rows: int) -> DataFrame:
-    return (
-        sizes.filter((F.col(count) > hot_rows) & _all_present(keys))
-        .orderBy(F.col(count).desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-    )
+def _all_present(names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{name}`").isNotNull() for name in names])
 
 
-def _all_present(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in names])
+def _cells(rows: str, total: Column, hot_parts: int) -> Column:
+    return F.greatest(F.ceil(F.coalesce(F.col(rows) * F.lit(float(hot_parts)) / F.nullif(total, F.lit(0)), F.lit(0.0))), F.lit(1)).cast("int")
+
+
+def _spots(frame: DataFrame) -> int:
+    """Places for rows that meet nobody by key: as many as the session shuffles into."""
+    return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _cells(rows: str, hot_rows: int) -> Column:
-    return F.least(F.greatest(F.ceil(F.col(rows) / hot_rows), F.lit(1)), F.lit(MAX_CELLS)).cast("int")
+def _named(columns: Sequence[str]) -> list[Column]:
+    """Columns by their whole names, dots included."""
+    return [F.col(f"`{c}`") for c in columns]
 
 
 def _equal(frame: DataFrame, on: Sequence[str], marks: DataFrame, prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [frame[c] == marks[f"{prefix}{i}"] for i, c in enumerate(on)])
+    return reduce(lambda a, b: a & b, [frame[f"`{c}`"] == marks[f"{prefix}{i}"] for i, c in enumerate(on)])
 
 
 def _hashables(frame: DataFrame) -> list[Column]:
-    return [F.col(f.name) for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [F.col(f"`{f.name}`") for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
 
 
 def _zero(frame: DataFrame, on: Sequence[str]) -> Column:
     """0 as a join key. A literal would be folded away, and the cells of the other side with it."""
-    return F.pmod(F.hash(*[frame[c] for c in on]), F.lit(1))
+    return F.pmod(F.hash(*[frame[f"`{c}`"] for c in on]), F.lit(1))
 
 
 def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
     """Give each row its cell, and copy it along the other side's cells of a hot key."""
-    columns = frame.columns
     side = marks.withColumnsRenamed({n: f"__{tag}k{i}" for i, n in enumerate(names)})
     # Content and input partition together: copies of one row spread too, and a retried task repeats the choice.
     spot = F.xxhash64(F.spark_partition_id(), *_hashables(frame))
     placed = frame.join(F.broadcast(side), _equal(frame, on, side, f"__{tag}k"), "left").select(
-        *columns,
+        *_named(frame.columns),
         F.lit(True).alias(f"__{tag}_here"),
         F.col("__met").alias(f"__{tag}_met"),
         F.when(F.col(own).isNotNull(), F.pmod(spot, F.col(own)))
-        .when(~_all_present(on), F.pmod(spot, F.lit(NULL_CELLS)))
+        .when(~_all_present(on), F.pmod(spot, F.lit(_spots(frame))))
         .otherwise(0)
         .cast("int")
         .alias(f"__{tag}_own"),

@@ -12,7 +12,7 @@ from loanops import constants as C
 from loanops.functions.timekit import day, to_business_time
 from loanops.operators.aggregates import flag_any
 from loanops.operators.history import group_max_rows, with_group_min
-from loanops.operators.joins import HOT_ROWS, ROWS, Dimension, left_dims, spread_join
+from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, spread_join
 from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes, persons_of
 
 # Columns of the funnel, in published order.
@@ -66,11 +66,11 @@ def fund_counts(pledges: DataFrame) -> DataFrame:
 
 
 def application_funnel(
-    t: Mapping[str, DataFrame], house_name: str = "HOUSE", hot_rows: int = HOT_ROWS
+    t: Mapping[str, DataFrame], house_name: str = "HOUSE", hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """Borrower applications of persons with a PAN, with the account's first application date and asset facts."""
     borrower_type = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE)
-    rows = with_group_min(borrower_type, ["account_id"], "created_on", "app_created_on", hot_rows=hot_rows)
+    rows = with_group_min(borrower_type, ["account_id"], "created_on", "app_created_on", hot_parts=hot_parts)
     limits = Dimension(t["credit_application_meta_data"], "application_id", "application_id", APPLICATION_LIMITS)
     flags = Dimension(
         asset_flags(t["asset_fetch_data"]),
@@ -147,7 +147,7 @@ def platform_lead_funnel(
     platform_id,
     start: date | str,
     house_name: str = "HOUSE",
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """First leads of one platform in full outer join with all borrower applications, from ``start`` on.
 
@@ -157,26 +157,26 @@ def platform_lead_funnel(
     messages = latest_message_status(t["communication_message_records"])
     best = person_extremes(leads, portfolio, "created_on", "min")
     first = spread_join(
-        leads_at(leads, portfolio, best, "created_on", hot_rows),
+        leads_at(leads, portfolio, best, "created_on", hot_parts),
         messages,
         ["email_id"],
         ["primary_recipient"],
         "left",
         left_keys=leads.select("pan", "email_id").distinct().join(best.select("pan", ROWS), "pan").select("email_id", ROWS),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
     first = first.withColumnsRenamed({c: _LEAD + c for c in first.columns})
     # Cheaper tables with the same persons on either side, to find hot ones.
     applications = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE)
     both = spread_join(
-        application_funnel(t, house_name, hot_rows),
+        application_funnel(t, house_name, hot_parts),
         first,
         ["app_pan"],
         [_LEAD + "pan"],
         "full",
         left_keys=persons_of(t, applications),
         right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
 
     def lead(name: str) -> Column:

@@ -26,7 +26,7 @@ from loanops.functions.rules import (
 from loanops.functions.timekit import period, since_instant
 from loanops.operators.aggregates import median_of_counts, value_counts
 from loanops.operators.history import BEST, extremes, latest_row
-from loanops.operators.joins import HOT_ROWS, ROWS, Dimension, left_dims, spread_join
+from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, spread_join
 from loanops.session import settle
 
 
@@ -217,7 +217,7 @@ def person_extremes(leads: DataFrame, portfolio: DataFrame, by: str, which: str)
     return settle(persons.groupBy("pan").agg(best(BEST).alias(BEST), F.sum(ROWS).alias(ROWS)))
 
 
-def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_parts: int = HOT_PARTS) -> DataFrame:
     """Each person's lead rows at that time, ties kept.
 
     Only persons with a portfolio row take part; one whose times are all missing keeps every lead row, also
@@ -225,7 +225,7 @@ def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, h
     """
     side = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
     known = best.select(F.col("pan").alias("__pan"), BEST)
-    persons = spread_join(leads, known, ["pan"], ["__pan"], "inner", hot="left", hot_rows=hot_rows).drop("__pan")
+    persons = spread_join(leads, known, ["pan"], ["__pan"], "inner", hot="left", hot_parts=hot_parts).drop("__pan")
     dated = persons.join(side, (persons["lead_id"] == side["__lead_id"]) & side[by].eqNullSafe(persons[BEST]), "inner")
     # Persons without any time: all of their portfolio rows have none, so only such rows can tell who has one.
     untimed = side.filter(F.col(by).isNull()).select("__lead_id").distinct()
@@ -240,7 +240,7 @@ def customer_journey(
     sanctioned: DataFrame,
     platforms: Platforms,
     persons: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Each person's latest lead rows against all their applications, judged, with eligible journeys kept.
 
@@ -249,7 +249,7 @@ def customer_journey(
     application, so it is joined before the full join, where no key is missing.
     """
     best = person_extremes(leads, portfolio, "last_updated_on", "max")
-    latest = leads_at(leads, portfolio, best, "last_updated_on", hot_rows)
+    latest = leads_at(leads, portfolio, best, "last_updated_on", hot_parts)
     latest = latest.withColumnsRenamed({c: _LEAD + c for c in latest.columns})
     limits = sanctioned.withColumnRenamed("application_id", "__app")
     applications = nan_to_null(applications)
@@ -263,7 +263,7 @@ def customer_journey(
         "full",
         left_keys=persons,
         right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
 
     def lead(name: str) -> Column:
@@ -323,7 +323,7 @@ def customer_journey(
 
 
 def journey_of(
-    t: Mapping[str, DataFrame], platforms: Platforms, step: str | None = None, hot_rows: int = HOT_ROWS
+    t: Mapping[str, DataFrame], platforms: Platforms, step: str | None = None, hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """The journey over a catalog: of the current applications, or of those that were at ``step``."""
     return customer_journey(
@@ -333,7 +333,7 @@ def journey_of(
         sanctioned_amounts(t),
         platforms,
         application_persons(t, step),
-        hot_rows,
+        hot_parts,
     )
 
 

@@ -12,7 +12,7 @@ from loanops import constants as C
 from loanops.functions.rules import bracketed, safe_ratio, trimmed
 from loanops.functions.timekit import instant, month_gap, month_start, to_business_time, trunc, whole_days
 from loanops.operators.history import next_after
-from loanops.operators.joins import HOT_ROWS, Dimension, full_coalesce, left_dims, spread_join
+from loanops.operators.joins import HOT_PARTS, Dimension, full_coalesce, left_dims, spread_join
 
 # ---------------------------------------------------------------- payouts
 
@@ -41,7 +41,7 @@ def partner_status(t: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def partner_payout_check(t: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
+def partner_payout_check(t: Mapping[str, DataFrame], hot_parts: int = HOT_PARTS) -> DataFrame:
     """Payment spans and partner master in full outer join; the account number trimmed and bracketed."""
     spans = payment_spans(t["payout_transactions"])
     master = partner_status(t).withColumnRenamed("partner_account_id", "__partner")
@@ -54,7 +54,7 @@ def partner_payout_check(t: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -
         "full",
         hot="left",
         left_keys=paid.select(F.col("destination_id").alias("partner_account_id")),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     )
     return both.withColumns(
         {
@@ -108,7 +108,7 @@ def _weighted_applications(t: Mapping[str, DataFrame], dedupe_history: bool) ->
 
 
 def effective_applications(
-    t: Mapping[str, DataFrame], dedupe_history: bool = False, hot_rows: int = HOT_ROWS
+    t: Mapping[str, DataFrame], dedupe_history: bool = False, hot_parts: int = HOT_PARTS
 ) -> DataFrame:
     """Finished applications with their effective state; by default once per COMPLETED history row."""
     rows = _weighted_applications(t, dedupe_history=True).drop("copies").withColumn("date_source", F.lit(DEFAULTED))
@@ -116,7 +116,7 @@ def effective_applications(
         return rows
     done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
     side = done.select(F.col("application_id").alias("__app"))
-    return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_rows=hot_rows).drop("__app")
+    return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_parts=hot_parts).drop("__app")
 
 
 def _dated_applications(
@@ -124,7 +124,7 @@ def _dated_applications(
     history_start: datetime | str,
     exclude_ids: Sequence[object],
     dedupe_history: bool,
-    hot_rows: int,
+    hot_parts: int,
 ) -> DataFrame:
     """Weighted applications with ``dates``: all completion dates that apply, each with its source.
 
@@ -141,7 +141,7 @@ def _dated_applications(
         C.IN_PROGRESS,
         C.COMPLETED,
         "moved_on",
-        hot_rows,
+        hot_parts,
     )
     rows = left_dims(rows, [Dimension(moved, "application_id", "application_id", {"moved_on": "moved_on"})])
     first = (
@@ -158,7 +158,7 @@ def _dated_applications(
         "left",
         hot="left",
         left_keys=t["credit_applications_entity"].select("account_id"),
-        hot_rows=hot_rows,
+        hot_parts=hot_parts,
     ).drop("__account")
     completed = F.col("application_state") == C.COMPLETED
     undated = completed & F.col("completed_on").isNull()
@@ -182,17 +182,17 @@ def completion_dates(
     t: Mapping[str, DataFrame],
     history_start: datetime | str,
     exclude_ids: Sequence[object] = (),
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Completion dates by source. An application may have several, each with its own tag."""
-    rows = _dated_applications(t, history_start, exclude_ids, True, hot_rows)
+    rows = _dated_applications(t, history_start, exclude_ids, True, hot_parts)
     return rows.select("application_id", F.explode("dates").alias("d")).select(
         "application_id", "d.completed_on", "d.date_source"
     )
 
 
-def _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_rows) -> DataFrame:
-    rows = _dated_applications(t, history_start, exclude_ids, dedupe_history, hot_rows)
+def _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_parts) -> DataFrame:
+    rows = _dated_applications(t, history_start, exclude_ids, dedupe_history, hot_parts)
     rows = rows.filter((F.col("application_state") == C.COMPLETED) & F.col("partner_account_id").isNotNull())
     limits = Dimension(
         t["credit_application_meta_data"],
@@ -229,7 +229,7 @@ def completed_credits(
     exclude_ids: Sequence[object] = (),
     dedupe_history: bool = False,
     expand: bool = True,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Completed applications of partners with limits, names and business completion time.
 
@@ -237,11 +237,11 @@ def completed_credits(
     reports take that form and give the same figures.
     """
     if dedupe_history or not expand:
-        return _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_rows)
-    rows = _weighted_credits(t, history_start, exclude_ids, True, hot_rows).drop("copies")
+        return _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_parts)
+    rows = _weighted_credits(t, history_start, exclude_ids, True, hot_parts).drop("copies")
     done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
     side = done.select(F.col("application_id").alias("__app"))
-    return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_rows=hot_rows).drop("__app")
+    return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_parts=hot_parts).drop("__app")
 
 
 def _copies(credits: DataFrame) -> Column:
@@ -350,10 +350,10 @@ def partner_scorecard(
     as_of,
     exclude_ids: Sequence[object] = (),
     dedupe_history: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Last month against the classes of all earlier months, full outer; no history means a new partner."""
-    credits = completed_credits(t, history_start, exclude_ids, dedupe_history, expand=False, hot_rows=hot_rows)
+    credits = completed_credits(t, history_start, exclude_ids, dedupe_history, expand=False, hot_parts=hot_parts)
     return scorecard(partner_last_month(credits, as_of), partner_classes(partner_history(credits, as_of), as_of))
 
 

@@ -42,16 +42,16 @@ def test_keep_extreme(make):
     assert rows_of(history.group_max_rows(frame, ["p"], "x").select("v")) == [(1,), (2,)]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_group_min_equals_self_join(make, hot_rows):
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_group_min_equals_self_join(make, hot_parts):
     frame = make("k int, x ts, v int", [(1, at(D(4)), 1), (1, at(D(2)), 2), (2, None, 3), (None, at(D(1)), 4)])
     plain = frame.join(frame.groupBy("k").agg(F.min("x").alias("low")), "k").select("k", "x", "v", "low")
-    ours = history.with_group_min(frame, ["k"], "x", "low", hot_rows=hot_rows).select("k", "x", "v", "low")
+    ours = history.with_group_min(frame, ["k"], "x", "low", hot_parts=hot_parts).select("k", "x", "v", "low")
     assert rows_of(ours) == rows_of(plain)
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_next_after_is_strict(make, hot_rows):
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_next_after_is_strict(make, hot_parts):
     rows = [
         ("a", "RUN", at(D(1))),
         ("a", "DONE", at(D(2))),
@@ -64,7 +64,7 @@ def test_next_after_is_strict(make, hot_rows):
         ("c", "DONE", at(D(2))),
     ]
     frame = make("k string, s string, x ts", rows)
-    out = history.next_after(frame, "k", "s", "x", "RUN", "DONE", hot_rows=hot_rows)
+    out = history.next_after(frame, "k", "s", "x", "RUN", "DONE", hot_parts=hot_parts)
     assert rows_of(out) == [("a", at(D(4)))]
 
 

@@ -29,23 +29,23 @@ def sides(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "full"])
-@pytest.mark.parametrize("hot_rows", [1, 10, 10**6])
-def test_both_sides_hot(sides, how, hot_rows):
+@pytest.mark.parametrize("hot_parts", [1, 20, 10**6])
+def test_both_sides_hot(sides, how, hot_parts):
     left, right = sides
     plain = left.join(right, left["k"] == right["r"], how).select("a", "k", "r", "b")
-    spread = joins.spread_join(left, right, ["k"], ["r"], how, hot_rows=hot_rows).select("a", "k", "r", "b")
+    spread = joins.spread_join(left, right, ["k"], ["r"], how, hot_parts=hot_parts).select("a", "k", "r", "b")
     assert rows_of(spread) == rows_of(plain)
 
 
-@pytest.mark.parametrize("how,hot,hot_rows", list(itertools.product(["inner", "left", "full"], ["left", "right"], [1, 10])))
-def test_one_side_hot(sides, how, hot, hot_rows):
+@pytest.mark.parametrize("how,hot,hot_parts", list(itertools.product(["inner", "left", "full"], ["left", "right"], [20, 10**6])))
+def test_one_side_hot(sides, how, hot, hot_parts):
     left, right = sides
     if hot == "left":
         right = right.filter("r is not null").groupBy("r").agg(F.max("b").alias("b"))
     else:
         left = left.filter("k is not null").groupBy("k").agg(F.max("a").alias("a")).select("a", "k")
     plain = left.join(right, left["k"] == right["r"], how).select("a", "k", "r", "b")
-    spread = joins.spread_join(left, right, ["k"], ["r"], how, hot=hot, hot_rows=hot_rows).select("a", "k", "r", "b")
+    spread = joins.spread_join(left, right, ["k"], ["r"], how, hot=hot, hot_parts=hot_parts).select("a", "k", "r", "b")
     assert rows_of(spread) == rows_of(plain)
 
 
@@ -53,7 +53,7 @@ def test_key_table_with_counts_too_high(sides):
     left, right = sides
     counts = left.groupBy("k").agg((F.count("*") * 5).alias(joins.ROWS))
     plain = left.join(right, left["k"] == right["r"], "full").select("a", "k", "r", "b")
-    spread = joins.spread_join(left, right, ["k"], ["r"], "full", left_keys=counts, hot_rows=20)
+    spread = joins.spread_join(left, right, ["k"], ["r"], "full", left_keys=counts, hot_parts=30)
     assert rows_of(spread.select("a", "k", "r", "b")) == rows_of(plain)
 
 
@@ -63,7 +63,7 @@ def test_two_keys(sides):
     right = right.withColumn("r2", F.col("b") % 2)
     condition = (left["k"] == right["r"]) & (left["k2"] == right["r2"])
     plain = left.join(right, condition, "full")
-    spread = joins.spread_join(left, right, ["k", "k2"], ["r", "r2"], "full", hot_rows=5)
+    spread = joins.spread_join(left, right, ["k", "k2"], ["r", "r2"], "full", hot_parts=100)
     assert rows_of(spread) == rows_of(plain)
 
 
@@ -97,7 +97,7 @@ def test_hot_and_null_keys_land_in_many_partitions(sides, shuffled, hot):
     right = right.filter("r is not null").groupBy("r").agg(F.max("b").alias("b"))
     plain = _spread(left.join(right, left["k"] == right["r"], "left"), "k")
     assert plain[7] == plain[None] == 1
-    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot=hot, hot_rows=30), "k")
+    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot=hot, hot_parts=20), "k")
     assert parts[7] > 4 and parts[None] > 4 and parts[5] == 1
 
 
@@ -105,14 +105,14 @@ def test_hot_right_rows_land_in_many_partitions(sides, shuffled):
     left, right = sides
     left = left.groupBy("k").agg(F.max("a").alias("a")).select("a", "k")
     left = left.unionAll(left.sparkSession.range(200).select("id", F.lit(None).cast("long")))
-    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot="right", hot_rows=5), "k")
+    parts = _spread(joins.spread_join(left, right, ["k"], ["r"], "left", hot="right", hot_parts=20), "k")
     assert parts[7] > 4 and parts[None] > 4
 
 
-def test_attached_hot_rows_land_in_many_partitions(sides, shuffled):
+def test_attached_hot_parts_land_in_many_partitions(sides, shuffled):
     left, _ = sides
     groups = left.groupBy("k").agg(F.min("a").alias("low"), F.count("*").alias("n"))
-    parts = _spread(joins.attach(left, groups, ["k"], "n", 30), "k")
+    parts = _spread(joins.attach(left, groups, ["k"], "n", 20), "k")
     assert parts[7] > 4 and parts[5] == 1
 
 
@@ -121,20 +121,20 @@ def test_same_column_on_both_sides_is_refused(sides):
         joins.spread_join(sides[0], sides[0], ["k"], ["k"])
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10, 10**6])
-def test_attach(sides, hot_rows):
+@pytest.mark.parametrize("hot_parts", [1, 20, 10**6])
+def test_attach(sides, hot_parts):
     left, _ = sides
     groups = left.groupBy("k").agg(F.min("a").alias("low"), F.max("a").alias("high"), F.count("*").alias("n"))
     groups = groups.filter("k is null or k <> 5")
     plain = left.join(groups.drop("n"), "k").select("a", "k", "low", "high")
-    assert rows_of(joins.attach(left, groups, ["k"], "n", hot_rows)) == rows_of(plain)
+    assert rows_of(joins.attach(left, groups, ["k"], "n", hot_parts)) == rows_of(plain)
 
 
 def test_attach_keeps_groups_with_null_values(make):
     rows = make("k long, v long", [(1, None), (1, None), (2, 3)])
     groups = rows.groupBy("k").agg(F.max("v").alias("top"), F.count("*").alias("n"))
-    for hot_rows in (1, 100):
-        assert rows_of(joins.attach(rows, groups, ["k"], "n", hot_rows)) == [(1, None, None), (1, None, None), (2, 3, 3)]
+    for hot_parts in (1, 100):
+        assert rows_of(joins.attach(rows, groups, ["k"], "n", hot_parts)) == [(1, None, None), (1, None, None), (2, 3, 3)]
 
 
 def test_left_dims_and_semi(make):

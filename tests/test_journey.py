@@ -74,9 +74,9 @@ def tables(make):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_journey(tables, hot_rows):
-    out = J.journey_of(tables, PLATFORMS, hot_rows=hot_rows)
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_journey(tables, hot_parts):
+    out = J.journey_of(tables, PLATFORMS, hot_parts=hot_parts)
     assert out.columns == [*J.JOURNEY_COLUMNS, "eligible", "platform_type", "sanctioned_limit"]
     shown = out.select(
         "pan", "application_id", "platform_name", "application_stage", "eligible_credit_limit_temp", "created_on",

@@ -58,9 +58,9 @@ def tables(make):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_effective_applications_fan_out_by_history(tables, hot_rows):
-    rows = partners.effective_applications(tables, hot_rows=hot_rows)
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_effective_applications_fan_out_by_history(tables, hot_parts):
+    rows = partners.effective_applications(tables, hot_parts=hot_parts)
     got = rows_of(rows.groupBy("application_id", "application_state").count())
     assert got == sorted(
         [(1, "COMPLETED", 1), (2, "COMPLETED", 3), (3, "COMPLETED", 1), (4, "SUSPENDED", 1)]
@@ -69,9 +69,9 @@ def test_effective_applications_fan_out_by_history(tables, hot_rows):
     assert partners.effective_applications(tables, dedupe_history=True).count() == 8
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_completion_dates_from_four_sources(tables, hot_rows):
-    got = partners.completion_dates(tables, START, exclude_ids=(7,), hot_rows=hot_rows)
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_completion_dates_from_four_sources(tables, hot_parts):
+    got = partners.completion_dates(tables, START, exclude_ids=(7,), hot_parts=hot_parts)
     assert rows_of(got) == [
         (1, at(T(5, 20)), partners.OWN_DATE),
         (2, at(T(5, 12)), partners.FROM_HISTORY),
@@ -159,8 +159,8 @@ def test_payout_check(make):
             [(1, "One", "  12 ", "I"), (2, "Two", " ", "J"), (3, "Three", None, "K")],
         ),
     }
-    for hot_rows in (1, 10**6):
-        out = partners.partner_payout_check(t, hot_rows=hot_rows)
+    for hot_parts in (1, 10**6):
+        out = partners.partner_payout_check(t, hot_parts=hot_parts)
         # the first credit at 20:00 UTC is the next business day
         assert rows_of(out) == sorted(
             [
@@ -227,10 +227,10 @@ def funnel_tables(make):
     }
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10**6])
-def test_platform_lead_funnel(funnel_tables, hot_rows):
+@pytest.mark.parametrize("hot_parts", [1, 10**6])
+def test_platform_lead_funnel(funnel_tables, hot_parts):
     portfolio = journey.portfolio_leads(funnel_tables)
-    out = funnel.platform_lead_funnel(funnel_tables, portfolio, 4, "2024-05-01", hot_rows=hot_rows)
+    out = funnel.platform_lead_funnel(funnel_tables, portfolio, 4, "2024-05-01", hot_parts=hot_parts)
     assert tuple(out.columns) == funnel.FUNNEL_COLUMNS
     shown = out.select(
         "account_holderpan", "application_id", "created_on", "current_step_id", "completed_on", "cams_fetched", "karvy_fetched",
