@@ -11,7 +11,7 @@ shingles plus t, not their product with the coordinates.
 
 Links: documents of equal word sequences are one node first. Nodes that share one of ``BANDS`` bands are candidates; a pair at the threshold is missed
 with probability (1 - 0.8^5)^26 = 3e-5. A bucket never becomes all its pairs: each round, buckets that still hold several components test a
-few leaders, taken outside the bucket's largest component and twice as many each round, against the members in other components, until no untested pair could
+few leaders, taken outside the bucket's largest component and four times as many each round, against the members in other components, until no untested pair could
 join two components. Every link between candidates is therefore reflected in the components. Similarities are
 computed from the whole texts.
 
@@ -254,7 +254,7 @@ def linked_nodes(nodes: DataFrame, docs: DataFrame, id_column: str, text_column:
         used = own if used is None else used.union(own)
         edges = found if edges is None else edges.union(found)
         roots = settled(components(edges))
-        leaders *= 2
+        leaders *= 4
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loanops.session import tune
 
 from . import decontamination, language_id, lm_scoring, mixing, near_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from .oracles import MIXING, URL_FILTER
 from .textkit import fold, settled
 from .url_filter import Rule
 
@@ -63,7 +64,7 @@ URL_RULES = (
 LISTED_HOSTS = "adult|bets|casino|pills|spam|ads-track"
 
 
-@query("op3_url_filter")
+@query("op3_url_filter", URL_FILTER)
 def _(read):
     pages = read("pages").select("page_id", "url")
     listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
@@ -88,7 +89,7 @@ def _(read):
     )
 
 
-@query("op6_mixing")
+@query("op6_mixing", MIXING)
 def _(read):
     docs = read("documents").select("doc_id", "source", "text")
     mixed = mixing.mix_sources(docs)

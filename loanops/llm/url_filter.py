@@ -49,10 +49,10 @@ def path_of(url: Column) -> Column:
 
 def canonical_url(url: Column) -> Column:
     """One form for the addresses of one page; null without ``://``."""
-    host = F.regexp_replace(F.regexp_replace(host_of(url), "^.*@|:[0-9]*$", ""), r"^(www\.|m\.)", "")
-    path = F.regexp_replace(path_of(url), "/$", "")
+    host = F.regexp_replace(F.regexp_replace(host_of(url), r"^.*@|:[0-9]*\z", ""), r"^(www\.|m\.)", "")
+    path = F.regexp_replace(path_of(url), r"/\z", "")
     query = F.regexp_extract(url_rest(url), r"^[^?#]*\?([^#]*)", 1)
-    parts = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^({TRACKING})(=|$)")))
+    parts = F.array_sort(F.filter(F.split(query, "&"), lambda p: (p != "") & ~p.rlike(f"^({TRACKING})(=|\\z)")))
     shown = F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise(F.lit(""))
     return F.when(url_rest(url).isNotNull(), F.concat(host, path, shown))
 
