@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,8 +21,8 @@ TICKET_DISPLAY = {
 }
 
 
-def tickets(frame: DataFrame, custom_fields: Mapping[int, str], display: bool = True) -> DataFrame:
-    """The shown columns, plus one column per custom field id: the value of its first entry, or null."""
+def tickets(frame: DataFrame, custom_fields: Mapping[int, str], display: bool = True, keep: Sequence[str] = ()) -> DataFrame:
+    """The shown columns, one column per custom field id (the value of its first entry, or null), and ``keep``."""
     extra = [value_by_id(F.col("custom_fields"), field).alias(name) for field, name in custom_fields.items()]
     names = {c: (name if display else c) for c, name in TICKET_DISPLAY.items()}
-    return frame.select(*[F.col(c).alias(name) for c, name in names.items()], *extra)
+    return frame.select(*[F.col(c).alias(name) for c, name in names.items()], *extra, *keep)

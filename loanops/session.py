@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Runtime settings; safe to apply to a session that somebody else built.
 RUNTIME_CONF = {
@@ -40,10 +40,10 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return tune(spark)
 
 
-def checkpoint_folder(spark: SparkSession) -> str | None:
+def checkpoint_folder(spark: SparkSession) -> str:
     """Folder for reliable checkpoints: the one the session names; in local mode else a fresh temporary one.
 
-    None on a cluster that names no shared folder.
+    A cluster has to name one that driver and executors share.
     """
     context = spark.sparkContext
     if context.getCheckpointDir():
@@ -51,15 +51,7 @@ def checkpoint_folder(spark: SparkSession) -> str | None:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and context.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="loanops-checkpoint-")
-    if folder:
-        context.setCheckpointDir(folder)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    context.setCheckpointDir(folder)
     return folder
-
-
-def settle(frame: DataFrame) -> DataFrame:
-    """``frame`` computed once and read back from a reliable checkpoint, for plans that use it several times.
-
-    Runs a job. Where no shared folder is named the frame is returned as it is: the same rows, computed
-    again at every use.
-    """
-    return frame.checkpoint() if checkpoint_folder(frame.sparkSession) else frame

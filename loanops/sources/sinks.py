@@ -1,4 +1,8 @@
-"""Where reports go: CSV folders, CSV with a row number, named tables, one folder per lender."""
+"""Where reports go: CSV folders, CSV with a row number, named tables, one folder per lender.
+
+Every sink takes an ``order``. A report in one piece is sorted by range, so its files follow one another in that order;
+a report split by lender is sorted within each lender's files.
+"""
 
 from __future__ import annotations
 
@@ -7,13 +11,27 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanops.functions.rules import blank_nulls
 from loanops.session import checkpoint_folder
 
+# A header line, and quotes inside a cell doubled, as other readers expect.
+CSV = {"header": True, "escape": '"'}
+
+
+def as_text(frame: DataFrame) -> DataFrame:
+    """``frame`` with arrays, maps and structs as JSON text, which CSV can hold."""
+    nested = [f.name for f in frame.schema.fields if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    return frame.withColumns({n: F.to_json(F.col(f"`{n}`")) for n in nested}) if nested else frame
+
 
-def write_csv(frame: DataFrame, folder: str) -> None:
-    frame.write.mode("overwrite").option("header", True).csv(folder)
+def _ordered(frame: DataFrame, order: Sequence[str | Column]) -> DataFrame:
+    return frame.orderBy(*order) if order else frame
+
+
+def write_csv(frame: DataFrame, folder: str, order: Sequence[str | Column] = ()) -> None:
+    as_text(_ordered(frame, order)).write.mode("overwrite").options(**CSV).csv(folder)
 
 
 def with_row_number(frame: DataFrame, order: Sequence[str | Column], name: str = "index") -> DataFrame:
@@ -23,9 +41,10 @@ def with_row_number(frame: DataFrame, order: Sequence[str | Column], name: str =
     taken from one fixed run. A hidden last sort key lets rows of equal order spread over several ranges; it
     follows content and input partition, so a retried task repeats it.
     """
-    if not checkpoint_folder(frame.sparkSession):
-        raise RuntimeError("set spark.checkpoint.dir")
-    tie = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in frame.columns])
+    checkpoint_folder(frame.sparkSession)
+    columns = [F.col(f"`{c}`") for c in frame.columns]
+    hashable = [F.col(f"`{f.name}`") for f in frame.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    tie = F.xxhash64(F.spark_partition_id(), *hashable)
     ranged = frame.withColumn("__tie", tie).orderBy(*order, "__tie").drop("__tie")
     fixed = ranged.withColumn("__at", F.monotonically_increasing_id()).checkpoint()
     # The generated id holds the partition above bit 33 and the position below.
@@ -37,24 +56,38 @@ def with_row_number(frame: DataFrame, order: Sequence[str | Column], name: str =
         .select("__part", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__offset"))
     )
     numbered = placed.join(F.broadcast(offsets), "__part")
-    return numbered.select((F.col("__offset") + F.col("__pos")).alias(name), *frame.columns)
+    return numbered.select((F.col("__offset") + F.col("__pos")).alias(name), *columns)
 
 
 def write_indexed_csv(frame: DataFrame, folder: str, order: Sequence[str | Column]) -> None:
-    write_csv(with_row_number(frame, order), folder)
+    """CSV with a row number, in its order."""
+    write_csv(with_row_number(frame, order), folder, ["index"])
 
 
 def table_name(title: str) -> str:
-    return re.sub(r"\W+", "_", title.strip().lower())
+    """Lower case with underscores; a plus sign is spelled, because published names differ by it alone."""
+    return re.sub(r"\W+", "_", title.strip().lower().replace("+", " plus")).strip("_")
+
+
+def table_columns(titles: Sequence[str]) -> dict[str, str]:
+    """Published column names to table column names; names that would still be equal are refused."""
+    names = {title: table_name(title) for title in titles}
+    twice = sorted({n for n in names.values() if list(names.values()).count(n) > 1})
+    if twice:
+        raise ValueError(f"columns with the same table name: {twice}")
+    return names
 
 
-def publish(frame: DataFrame, title: str, folder: str | None = None, delivery: bool = False) -> None:
+def publish(frame: DataFrame, title: str, folder: str | None = None, delivery: bool = False, order: Sequence[str | Column] = ()) -> None:
     """Replace the report named ``title``: a managed table, or a parquet folder below ``folder``.
 
-    ``delivery``: all cells as text and nulls as empty text, for sheet-like consumers.
+    Columns get table names and keep their published names as comments. ``delivery``: all cells as text and nulls as empty
+    text, for sheet-like consumers.
     """
-    frame = blank_nulls(frame) if delivery else frame
-    frame = frame.withColumnsRenamed({c: table_name(c) for c in frame.columns})
+    frame = _ordered(frame, order)
+    frame = blank_nulls(as_text(frame)) if delivery else frame
+    names = table_columns(frame.columns)
+    frame = frame.select(*[F.col(f"`{c}`").alias(n, metadata={"comment": c}) for c, n in names.items()])
     writer = frame.write.mode("overwrite")
     if folder is None:
         writer.saveAsTable(table_name(title))
@@ -62,13 +95,19 @@ def publish(frame: DataFrame, title: str, folder: str | None = None, delivery: b
         writer.parquet(f"{folder}/{table_name(title)}")
 
 
-def publish_all(reports: Mapping[str, DataFrame], folder: str | None = None, delivery: bool = False) -> None:
-    """Every report of a run; each is its own job."""
+def publish_all(
+    reports: Mapping[str, DataFrame],
+    folder: str | None = None,
+    delivery: bool = False,
+    orders: Mapping[str, Sequence[str | Column]] | None = None,
+) -> None:
+    """Every report of a run; each is its own job. ``orders``: sort order by title."""
     for title, frame in reports.items():
-        publish(frame, title, folder, delivery)
+        publish(frame, title, folder, delivery, (orders or {}).get(title, ()))
 
 
-def write_per_lender(frame: DataFrame, folder: str, lender: str = "lender_id") -> None:
-    """One CSV folder per lender from a single pass; rows keep the lender column."""
-    copy = frame.withColumn("lender", F.col(lender))
-    copy.write.mode("overwrite").partitionBy("lender").option("header", True).csv(folder)
+def write_per_lender(frame: DataFrame, folder: str, lender: str = "lender_id", order: Sequence[str | Column] = ()) -> None:
+    """One CSV folder per lender, null lenders included, from a single pass; rows keep the lender column."""
+    copy = frame.withColumn("lender", F.col(f"`{lender}`"))
+    copy = copy.sortWithinPartitions("lender", *order) if order else copy
+    as_text(copy).write.mode("overwrite").partitionBy("lender").options(**CSV).csv(folder)

@@ -9,23 +9,32 @@ PAGE_SCHEMA = (
     "tickets array<struct<id:bigint,status:string,subject:string,type:string,requester_id:bigint,assignee_id:bigint,"
     "tags:array<string>,custom_fields:array<struct<id:bigint,value:string>>>>, links struct<next:string>"
 )
-MAX_PAGES = 6
 
 
 def read_ticket_pages(
     spark: SparkSession,
     folder: str,
-    max_pages: int | None = MAX_PAGES,
+    max_pages: int | None = None,
     page_number: str = r"(\d+)\.json$",
     schema: str = PAGE_SCHEMA,
 ) -> DataFrame:
-    """One row per ticket, with its page number and position; the page limit is the ingest's own.
+    """One row per ticket, with its page number and position. All pages are read unless the caller sets a limit.
 
-    ``page_number`` finds the number, counted from 1, in the file path.
+    ``page_number`` finds the number, counted from 1, in the file path; a file without one has page null, and is
+    left out where a limit is set.
     """
     path = F.col("_metadata.file_path")
     pages = spark.read.schema(schema).option("multiLine", True).json(folder)
-    numbered = pages.withColumn("page", F.regexp_extract(path, page_number, 1).cast("int"))
+    numbered = pages.withColumn("page", F.regexp_extract(path, page_number, 1).try_cast("int"))
     if max_pages is not None:
         numbered = numbered.filter(F.col("page") <= max_pages)
-    return numbered.select("page", F.posexplode("tickets").alias("position", "ticket")).select("page", "position", "ticket.*")
+    return exploded(numbered, "page")
+
+
+def parse_pages(documents: DataFrame, text: str, page: str, schema: str = PAGE_SCHEMA) -> DataFrame:
+    """The same from page documents held as JSON text in a column; text that is not such a document has no tickets."""
+    return exploded(documents.select(F.col(page).alias("page"), F.from_json(text, schema).alias("__doc")).select("page", "__doc.*"), "page")
+
+
+def exploded(pages: DataFrame, page: str) -> DataFrame:
+    return pages.select(page, F.posexplode("tickets").alias("position", "ticket")).select(page, "position", "ticket.*")

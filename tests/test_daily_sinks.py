@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from loanops.plans import daily, mandates, tickets
 from loanops.sources import catalog, sinks
-from loanops.sources.ticket_pages import read_ticket_pages
+from loanops.sources.ticket_pages import parse_pages, read_ticket_pages
 from tests.conftest import at, rows_of
 
 AS_OF = "2024-03-10 15:00:00"
@@ -59,7 +59,8 @@ def test_foreclosure_extract(tables, tmp_path):
     ]
     assert daily.foreclosure_collections(tables, AS_OF, display=True).columns[:2] == ["Collection ID", "Customer Pan"]
     parts = daily.by_lender(out, ["Alpha", "Beta"])
-    assert [parts[k].count() for k in ("Alpha", "Beta")] == [1, 1]
+    assert [parts[k].count() for k in ("Alpha", "Beta", None)] == [1, 1, 0]
+    assert daily.by_lender(out, ["Beta"])[None].count() == 1
     sinks.write_per_lender(out, str(tmp_path / "x"))
     assert sorted(p.name for p in (tmp_path / "x").iterdir() if p.is_dir()) == ["lender=Alpha", "lender=Beta"]
 
@@ -118,11 +119,57 @@ def pages(tmp_path_factory):
 
 def test_ticket_pages(spark, pages):
     raw = read_ticket_pages(spark, pages)
-    assert raw.count() == 12 and read_ticket_pages(spark, pages, max_pages=None).count() == 16
+    assert raw.count() == 16 and read_ticket_pages(spark, pages, max_pages=6).count() == 12
     out = tickets.tickets(raw, {7: "Stage", 8: "Phone"})
     assert out.columns == ["Ticket ID", "Ticket Status", "Subject", "Type", "Requester", "Assignee", "Tags", "Stage", "Phone"]
     got = {r["Ticket ID"]: r["Stage"] for r in out.collect()}
-    assert got[10] == "v1" and got[11] is None and got[60] == "v6"
+    assert got[10] == "v1" and got[11] is None and got[80] == "v8"
+
+
+def test_pages_without_a_number(spark, pages, tmp_path):
+    text = Path(pages, "page-1.json").read_text()
+    (tmp_path / "page-2.json").write_text(text)
+    (tmp_path / "last.json").write_text(text)
+    assert read_ticket_pages(spark, str(tmp_path)).count() == 4
+    assert read_ticket_pages(spark, str(tmp_path), max_pages=5).count() == 2
+
+
+def test_parse_pages(make, pages):
+    text = Path(pages, "page-3.json").read_text()
+    rows = parse_pages(make("n int, doc string", [(3, text), (4, "no json"), (5, None)]), "doc", "n")
+    assert rows_of(rows.select("page", "position", "id")) == [(3, 0, 30), (3, 1, 31)]
+
+
+def test_ticket_report_as_csv(spark, pages, tmp_path):
+    report = tickets.tickets(read_ticket_pages(spark, pages), {7: "Stage"})
+    sinks.write_indexed_csv(report, str(tmp_path / "t"), [F.col("`Ticket ID`").desc()])
+    rows = sorted(_read_csv(tmp_path / "t"), key=lambda r: int(r["index"]))
+    assert [int(r["Ticket ID"]) for r in rows] == sorted((p * 10 + i for p in range(1, 9) for i in range(2)), reverse=True)
+    assert rows[0]["Tags"] == '["a","b"]'
+
+
+def test_names_with_dots_and_order(spark, tmp_path):
+    frame = spark.range(300, numPartitions=5).select(F.col("id").alias("ticket.id"), (F.col("id") % 7).alias("g"))
+    assert sinks.with_row_number(frame, [F.col("`ticket.id`")]).columns == ["index", "ticket.id", "g"]
+    sinks.write_csv(frame, str(tmp_path / "o"), [F.col("g"), F.col("`ticket.id`").desc()])
+    assert [(int(r["g"]), int(r["ticket.id"])) for r in _read_csv(tmp_path / "o")] == sorted(((i % 7, i) for i in range(300)), key=lambda p: (p[0], -p[1]))
+
+
+def test_lender_files_are_sorted(spark, tmp_path):
+    frame = spark.range(200, numPartitions=4).select(F.col("id"), F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("lender_id"))
+    sinks.write_per_lender(frame, str(tmp_path / "l"), order=[F.col("id").desc()])
+    folders = sorted(p.name for p in (tmp_path / "l").iterdir() if p.is_dir())
+    assert folders == ["lender=1", "lender=2", "lender=__HIVE_DEFAULT_PARTITION__"]
+    for part in (tmp_path / "l").glob("*/*.csv"):
+        with part.open() as handle:
+            ids = [int(r["id"]) for r in csv.DictReader(handle)]
+        assert ids == sorted(ids, reverse=True)
+
+
+def test_equal_column_names_are_refused():
+    assert sinks.table_columns(["5D Late", "5D+ Late"]) == {"5D Late": "5d_late", "5D+ Late": "5d_plus_late"}
+    with pytest.raises(ValueError):
+        sinks.table_columns(["A b", "a-b"])
 
 
 def _read_csv(folder):
@@ -167,8 +214,7 @@ def test_catalogs(spark, tmp_path):
 
 
 def test_session_settings(spark):
-    from loanops.session import checkpoint_folder, settle
+    from loanops.session import checkpoint_folder
 
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert checkpoint_folder(spark) == checkpoint_folder(spark)
-    assert settle(spark.range(4)).count() == 4
