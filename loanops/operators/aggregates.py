@@ -7,58 +7,59 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Value buckets per doubling of the value; a bucket spans about 0.14 percent of it.
-_BUCKETS_PER_OCTAVE = 512
+from loanops.operators.joins import attach, per_key
 
-
-def value_counts(frame: DataFrame, keys: Sequence[str], value: str, **more: Column) -> DataFrame:
-    """Rows per group and value as ``__v`` (double) and ``__n``, with ``more`` aggregates alongside."""
-    number = F.col(value).cast("double").alias("__v")
-    return frame.groupBy(*keys, number).agg(F.count("*").alias("__n"), *[c.alias(n) for n, c in more.items()])
+# The sketch that brackets a median is off by at most one rank in so many; it is asked for ranks four times that far on both sides.
+SKETCH = 2000
 
 
 def exact_median(frame: DataFrame, keys: Sequence[str], value: str, name: str = "median") -> DataFrame:
-    """Exact median per group, nulls ignored; groups without any value are absent."""
-    return median_of_counts(value_counts(frame, keys, value), keys, name)
+    """Exact median per group, nulls and NaN ignored; groups without any value are absent."""
+    return median_and_sums(frame, keys, value, (), name).filter(F.col(name).isNotNull()).select(*[F.col(f"`{k}`") for k in keys], name)
+
 
+def median_and_sums(frame: DataFrame, keys: Sequence[str], value: str, summed: Sequence[str], name: str = "median") -> DataFrame:
+    """Exact median per group (null without values), ``rows``, and of each column in ``summed`` its ``sum_`` and ``count_``.
 
-def median_of_counts(counted: DataFrame, keys: Sequence[str], name: str = "median") -> DataFrame:
-    """Exact median per group from ``value_counts``, without holding a group's values in one place.
+    The built-in median keeps a map of all distinct values of a group in one task. Here a mergeable quantile sketch with a
+    proven rank error first brackets the middle ranks of each group; the rows are then reduced before the shuffle to one for
+    each value inside the bracket, one below it and one above. So whatever the values are, less than a hundredth of a hot group
+    (and no more rows than different values) is sorted in one place, and the rest is counted in parts.
 
-    The built-in median keeps a map of all distinct values of a group in memory. Here the counts are summed
-    per order-preserving value bucket (some ten thousand per group at most); the bucket that holds the
-    middle rank is found from those, and only its values are sorted.
+    Both passes read the same columns of ``frame`` (the first counts what the second sums), so Spark computes
+    the exchanges below them once.
     """
-    counted = counted.filter(F.col("__v").isNotNull()).select(*keys, "__v", "__n")
-    magnitude = F.floor(F.log2(F.abs("__v") + 1) * _BUCKETS_PER_OCTAVE)
-    counted = counted.withColumn("__b", (F.signum("__v") * magnitude).cast("int"))
-    groups = Window.partitionBy(*keys)
-    buckets = (
-        counted.groupBy(*keys, "__b")
-        .agg(F.sum("__n").alias("__bn"))
-        .withColumns({"__total": F.sum("__bn").over(groups), "__upto": F.sum("__bn").over(groups.orderBy("__b"))})
-        .withColumns(
-            {
-                "__before": F.col("__upto") - F.col("__bn"),
-                "__lo": F.floor((F.col("__total") + 1) / 2),
-                "__hi": F.floor(F.col("__total") / 2) + 1,
-            }
-        )
-        .filter((F.col("__before") < F.col("__hi")) & (F.col("__upto") >= F.col("__lo")))
-    )
-    side = buckets.select(
-        *[F.col(k).alias(f"__g{i}") for i, k in enumerate(keys)], F.col("__b").alias("__gb"), "__before", "__lo", "__hi"
+    number = F.nanvl(F.col(f"`{value}`").cast("double"), F.lit(None).cast("double"))
+    named = {f"__s{i}": F.col(f"`{c}`") for i, c in enumerate(summed)}
+    rows = frame.select(F.struct(*[F.col(f"`{k}`") for k in keys]).alias("__k"), number.alias("__v"), *[c.alias(n) for n, c in named.items()])
+    ranks = F.array(F.lit(0.5 - 4 / SKETCH), F.lit(0.5 + 4 / SKETCH))
+    counts = [F.count(n).alias(f"__c{n}") for n in named]
+    bracket = per_key(rows, ["__k"], F.percentile_approx("__v", ranks, SKETCH).alias("__bracket"), *counts)
+    low, high = F.col("__bracket")[0], F.col("__bracket")[1]
+    side = F.when(F.col("__v").isNull(), 3).when(F.col("__v") < low, 0).when(F.col("__v") > high, 2).otherwise(1)
+    marked = attach(rows, bracket, ["__k"]).withColumn("__side", side)
+    parts = marked.groupBy("__k", "__side", F.when(F.col("__side") == 1, F.col("__v")).alias("__inner")).agg(
+        F.count("*").alias("__n"), *[F.sum(n).alias(n) for n in named], *[F.max(f"__c{n}").alias(f"__c{n}") for n in named]
     )
-    condition = counted["__b"] == side["__gb"]
-    for i, key in enumerate(keys):
-        condition = condition & counted[key].eqNullSafe(side[f"__g{i}"])
-    upto = F.col("__before") + F.sum("__n").over(Window.partitionBy(*keys, "__b").orderBy("__v"))
-    inside = counted.join(side, condition).withColumn("__upto", upto).withColumn("__from", F.col("__upto") - F.col("__n"))
+    group = Window.partitionBy("__k")
+    known = F.when(F.col("__side") < 3, F.col("__n")).otherwise(0)
+    ranked = parts.withColumns({"__total": F.sum(known).over(group), "__upto": F.sum(known).over(group.orderBy("__side", "__inner"))})
+    before = F.col("__upto") - known
 
-    def at(rank: str) -> Column:
-        return F.max(F.when((F.col("__from") < F.col(rank)) & (F.col(rank) <= F.col("__upto")), F.col("__v")))
+    def at(rank: Column) -> Column:
+        return F.max(F.when((before < rank) & (rank <= F.col("__upto")), F.col("__inner")))
 
-    return inside.groupBy(*keys).agg(((at("__lo") + at("__hi")) / 2).alias(name))
+    middle = (at(F.floor((F.col("__total") + 1) / 2)) + at(F.floor(F.col("__total") / 2) + 1)) / 2
+    result = ranked.groupBy("__k").agg(
+        middle.alias(name), F.sum("__n").alias("rows"), *[F.sum(n).alias(n) for n in named], *[F.max(f"__c{n}").alias(f"__c{n}") for n in named]
+    )
+    return result.select(
+        *[F.col(f"__k.`{k}`").alias(k) for k in keys],
+        name,
+        "rows",
+        *[F.when(F.col(f"__c{n}") > 0, F.col(n)).alias(f"sum_{c}") for n, c in zip(named, summed)],
+        *[F.col(f"__c{n}").alias(f"count_{c}") for n, c in zip(named, summed)],
+    )
 
 
 def distinct_counts(

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanops.operators.joins import HOT_PARTS, ROWS, attach
+from loanops.operators.joins import ROWS, attach, per_key
 
 # Column with a group's extreme value.
 BEST = "__best"
@@ -26,20 +26,17 @@ def latest_row(frame: DataFrame, keys: Sequence[str], by: str, nulls_first: bool
     return frame.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def with_group_value(
-    frame: DataFrame, keys: Sequence[str], values: Mapping[str, Column], hot_parts: int = HOT_PARTS
-) -> DataFrame:
+def with_group_value(frame: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """Attach aggregates of its group to every row. Rows with a null key drop out, as in an inner self-join.
 
     Not a window: a window would pull a hot group into one task. Groups are aggregated before the shuffle
-    and joined back, the hottest by broadcast.
+    and joined back.
     """
-    groups = frame.groupBy(*keys).agg(*[c.alias(name) for name, c in values.items()], F.count("*").alias(ROWS))
-    return attach(frame, groups, keys, ROWS, hot_parts)
+    return attach(frame, per_key(frame, keys, *[c.alias(name) for name, c in values.items()]), keys)
 
 
-def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str, **options) -> DataFrame:
-    return with_group_value(frame, keys, {name: F.min(value)}, **options)
+def with_group_min(frame: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
+    return with_group_value(frame, keys, {name: F.min(value)})
 
 
 def extremes(frame: DataFrame, keys: Sequence[str], by: str, which: str = "max") -> DataFrame:
@@ -101,19 +98,13 @@ def next_after(
     after: str,
     wanted: str,
     name: str = "next_on",
-    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Per key, the first time in state ``wanted`` strictly after the last time in state ``after``."""
     is_wanted = F.col(state) == wanted
-    last = (
-        history.filter(F.col(state).isin(after, wanted))
-        .groupBy(key)
-        .agg(F.max(F.when(F.col(state) == after, F.col(at))).alias("__after"), F.count_if(is_wanted).alias(ROWS))
-        .filter((F.col(ROWS) > 0) & F.col("__after").isNotNull())
-    )
+    last = per_key(history.filter(F.col(state) == after), [key], F.max(at).alias("__after"))
     later = history.filter(is_wanted).select(key, at)
     return (
-        attach(later, last, [key], ROWS, hot_parts)
+        attach(later, last, [key])
         .filter(F.col(at) > F.col("__after"))
         .groupBy(key)
         .agg(F.min(at).alias(name))

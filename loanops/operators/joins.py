@@ -2,7 +2,8 @@
 
 Plain left/inner/semi joins are left to Catalyst: it broadcasts a side by its own size estimate, and the
 adaptive skew join splits hot partitions of sort-merge joins. It cannot do that for full outer joins, for
-the right side of left joins, or where one side is an aggregate on the join key; ``spread_join`` covers those.
+the right side of left joins; ``spread_join`` covers those. Where one side is an aggregate on the join key, ``per_key``
+gives that side an exchange of its own, so that the other one can be split.
 """
 
 from __future__ import annotations
@@ -107,38 +108,21 @@ def spread_join(
     return joined.select(*_named(left.columns), *_named(right.columns))
 
 
-def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str], count: str, hot_parts: int = HOT_PARTS) -> DataFrame:
-    """Inner join of ``rows`` to ``groups``: one row per key, with the number of ``rows`` of that key in ``count``.
+def per_key(frame: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Aggregates per key, dealt out by a hash of the key as well.
 
-    Groups with more than one part in ``hot_parts`` of the rows (no more than ``hot_parts`` groups) are broadcast with their
-    values, and their rows are taken out of the shuffle key; all other rows are joined by key as usual. Columns of ``groups`` other
-    than the keys and ``count`` are added to ``rows``.
+    A join on the key alone then exchanges this side too, and only between two exchanged sides can the adaptive skew join
+    split the rows of a hot key.
     """
-    values = [c for c in groups.columns if c not in (*keys, count)]
-    found = F.struct(*_named(values))
-    rows = rows.filter(_all_present(keys))
-    total = groups.agg(F.sum(count)).scalar()
-    hot = groups.filter((F.col(count) * hot_parts > total) & _all_present(keys)).select(
-        *[F.col(f"`{k}`").alias(f"__h{i}") for i, k in enumerate(keys)], found.alias("__hot")
-    )
-    marked = rows.join(F.broadcast(hot), _equal(rows, keys, hot, "__h"), "left").drop(
-        *[f"__h{i}" for i in range(len(keys))]
-    )
-    settled = F.col("__hot").isNotNull()
-    spot = F.pmod(F.xxhash64(F.spark_partition_id(), *_hashables(rows)), F.lit(_spots(rows)))
-    marked = marked.withColumns(
-        {f"__c{i}": F.when(~settled, F.col(f"`{k}`")) for i, k in enumerate(keys)} | {"__cell": F.when(settled, spot).otherwise(0).cast("int")}
-    )
-    side = groups.select(
-        *[F.col(f"`{k}`").alias(f"__g{i}") for i, k in enumerate(keys)], found.alias("__found"), _zero(groups, keys).alias("__side")
-    )
-    condition = F.col("__cell") == F.col("__side")
-    for i in range(len(keys)):
-        condition = condition & (F.col(f"__c{i}") == F.col(f"__g{i}"))
-    joined = marked.join(side, condition, "left").withColumn("__got", F.coalesce("__hot", "__found"))
-    return joined.filter(F.col("__got").isNotNull()).select(
-        *_named(rows.columns), *[F.col(f"__got.`{v}`").alias(v) for v in values]
-    )
+    salt = F.xxhash64(*_named(keys)).alias("__salt")
+    return frame.groupBy(*_named(keys), salt).agg(*aggregates).drop("__salt")
+
+
+def attach(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of ``rows`` to ``groups``, one row per key from ``per_key``; its other columns are added to ``rows``."""
+    values = [c for c in groups.columns if c not in keys]
+    side = groups.select(*[F.col(f"`{k}`").alias(f"__g{i}") for i, k in enumerate(keys)], *_named(values))
+    return rows.join(side, _equal(rows, keys, side, "__g")).select(*_named(rows.columns), *_named(values))
 
 
 def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged: Sequence[str] = ()) -> DataFrame:
@@ -168,7 +152,9 @@ def _all_present(names: Sequence[str]) -> Column:
 
 
 def _cells(rows: str, total: Column, hot_parts: int) -> Column:
-    return F.greatest(F.ceil(F.coalesce(F.col(rows) * F.lit(float(hot_parts)) / F.nullif(total, F.lit(0)), F.lit(0.0))), F.lit(1)).cast("int")
+    """One cell for each part of the rows that a key has, no more than it has rows."""
+    parts = F.ceil(F.coalesce(F.col(rows) * F.lit(float(hot_parts)) / F.nullif(total, F.lit(0)), F.lit(0.0)))
+    return F.greatest(F.least(parts, F.col(rows)), F.lit(1)).cast("int")
 
 
 def _spots(frame: DataFrame) -> int:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loanops.constants import BUSINESS_OFFSET
 from loanops.functions.rules import json_text
 from loanops.functions.timekit import business_day_window, midnight, on_day_or_late, to_business_time
-from loanops.operators.joins import Dimension, left_dims, semi_ids
+from loanops.operators.joins import Dimension, left_dims
 
 # Display names of the foreclosure extract.
 FORECLOSURE_DISPLAY = {
@@ -77,18 +77,18 @@ def foreclosures_of_day(
 def foreclosure_collections(
     t: Mapping[str, DataFrame], as_of, display: bool = False, offset: timedelta = BUSINESS_OFFSET, **window
 ) -> DataFrame:
-    """The day's foreclosures with their collections; only the collections they name are read into the join."""
+    """The day's foreclosures with the collections that they name."""
     requests = foreclosures_of_day(t, as_of, offset=offset, **window)
-    named = semi_ids(t["collections"], requests, "collection_id", "collection_id")
     received = to_business_time(F.coalesce("callback_received_on", "last_updated_on"), offset)
-    side = named.select("collection_id", "actual_amount_collected", "transaction_id", received.alias("callback_received_on"))
+    side = t["collections"].select("collection_id", "actual_amount_collected", "transaction_id", received.alias("callback_received_on"))
     joined = requests.join(side, "collection_id", "left").select(*FORECLOSURE_DISPLAY)
     return joined.withColumnsRenamed(FORECLOSURE_DISPLAY) if display else joined
 
 
-def by_lender(extract: DataFrame, lenders, column: str = "lender_id") -> dict[str, DataFrame]:
-    """One extract per lender."""
-    return {lender: extract.filter(F.col(column) == lender) for lender in lenders}
+def by_lender(extract: DataFrame, lenders, column: str = "lender_id") -> dict[str | None, DataFrame]:
+    """One extract per named lender, and under None the rest: other lenders and rows without one."""
+    parts = {lender: extract.filter(F.col(column) == lender) for lender in lenders}
+    return parts | {None: extract.filter(~F.coalesce(F.col(column).isin(*lenders), F.lit(False)))}
 
 
 def repayments_of_day(

@@ -65,12 +65,10 @@ def fund_counts(pledges: DataFrame) -> DataFrame:
     return pledges.groupBy("application_id").agg(F.count("isin_no").alias("mf_count"))
 
 
-def application_funnel(
-    t: Mapping[str, DataFrame], house_name: str = "HOUSE", hot_parts: int = HOT_PARTS
-) -> DataFrame:
+def application_funnel(t: Mapping[str, DataFrame], house_name: str = "HOUSE") -> DataFrame:
     """Borrower applications of persons with a PAN, with the account's first application date and asset facts."""
     borrower_type = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE)
-    rows = with_group_min(borrower_type, ["account_id"], "created_on", "app_created_on", hot_parts=hot_parts)
+    rows = with_group_min(borrower_type, ["account_id"], "created_on", "app_created_on")
     limits = Dimension(t["credit_application_meta_data"], "application_id", "application_id", APPLICATION_LIMITS)
     flags = Dimension(
         asset_flags(t["asset_fetch_data"]),
@@ -157,7 +155,7 @@ def platform_lead_funnel(
     messages = latest_message_status(t["communication_message_records"])
     best = person_extremes(leads, portfolio, "created_on", "min")
     first = spread_join(
-        leads_at(leads, portfolio, best, "created_on", hot_parts),
+        leads_at(leads, portfolio, best, "created_on"),
         messages,
         ["email_id"],
         ["primary_recipient"],
@@ -169,7 +167,7 @@ def platform_lead_funnel(
     # Cheaper tables with the same persons on either side, to find hot ones.
     applications = t["credit_applications_entity"].filter(F.col("application_type") == C.BORROWER_TYPE)
     both = spread_join(
-        application_funnel(t, house_name, hot_parts),
+        application_funnel(t, house_name),
         first,
         ["app_pan"],
         [_LEAD + "pan"],

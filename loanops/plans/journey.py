@@ -24,10 +24,9 @@ from loanops.functions.rules import (
     valid_phone,
 )
 from loanops.functions.timekit import period, since_instant
-from loanops.operators.aggregates import median_of_counts, value_counts
+from loanops.operators.aggregates import median_and_sums
 from loanops.operators.history import BEST, extremes, latest_row
-from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, spread_join
-from loanops.session import settle
+from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, per_key, spread_join
 
 
 @dataclass(frozen=True)
@@ -209,15 +208,15 @@ _LEAD = "lead__"
 def person_extremes(leads: DataFrame, portfolio: DataFrame, by: str, which: str) -> DataFrame:
     """Per person with a portfolio row, the latest or first portfolio time and the number of rows.
 
-    The portfolio is reduced to one row per lead before it meets the leads. Used twice, so computed once.
+    The portfolio is reduced to one row per lead before it meets the leads.
     """
     per_lead = extremes(portfolio, ["lead_id"], by, which)
     persons = leads.select("lead_id", "pan").filter(F.col("pan").isNotNull()).join(per_lead, "lead_id", "inner")
     best = F.max if which == "max" else F.min
-    return settle(persons.groupBy("pan").agg(best(BEST).alias(BEST), F.sum(ROWS).alias(ROWS)))
+    return per_key(persons, ["pan"], best(BEST).alias(BEST), F.sum(ROWS).alias(ROWS))
 
 
-def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_parts: int = HOT_PARTS) -> DataFrame:
+def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str) -> DataFrame:
     """Each person's lead rows at that time, ties kept.
 
     Only persons with a portfolio row take part; one whose times are all missing keeps every lead row, also
@@ -225,7 +224,7 @@ def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, h
     """
     side = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
     known = best.select(F.col("pan").alias("__pan"), BEST)
-    persons = spread_join(leads, known, ["pan"], ["__pan"], "inner", hot="left", hot_parts=hot_parts).drop("__pan")
+    persons = leads.join(known, F.col("pan") == F.col("__pan")).drop("__pan")
     dated = persons.join(side, (persons["lead_id"] == side["__lead_id"]) & side[by].eqNullSafe(persons[BEST]), "inner")
     # Persons without any time: all of their portfolio rows have none, so only such rows can tell who has one.
     untimed = side.filter(F.col(by).isNull()).select("__lead_id").distinct()
@@ -249,7 +248,7 @@ def customer_journey(
     application, so it is joined before the full join, where no key is missing.
     """
     best = person_extremes(leads, portfolio, "last_updated_on", "max")
-    latest = leads_at(leads, portfolio, best, "last_updated_on", hot_parts)
+    latest = leads_at(leads, portfolio, best, "last_updated_on")
     latest = latest.withColumnsRenamed({c: _LEAD + c for c in latest.columns})
     limits = sanctioned.withColumnRenamed("application_id", "__app")
     applications = nan_to_null(applications)
@@ -363,25 +362,20 @@ _LIMIT = "eligible_credit_limit_temp"
 def _summary(rows: DataFrame, keys: list[str], generic: bool = False) -> DataFrame:
     """``generic``: credit as a non-null count instead of a sum, and the sum of the limits as well.
 
-    Everything comes from the counts per group and limit, so the journey below is computed once.
+    Totals and medians come from the same reduced rows.
     """
-    counted = settle(
-        value_counts(
-            rows, keys, _LIMIT, sanctioned=F.sum("sanctioned_limit"), granted=F.count("sanctioned_limit"), limits=F.sum(_LIMIT)
-        )
-    )
-    known = F.sum(F.when(F.col("__v").isNotNull(), F.col("__n")))
+    found = median_and_sums(rows, keys, _LIMIT, ["sanctioned_limit", _LIMIT], "median_eligible_credit")
+    limits, known = F.col(f"sum_{_LIMIT}"), F.col(f"count_{_LIMIT}")
     # The credit column keeps its published name although it is a sum of money.
-    credit = F.sum("granted") if generic else F.coalesce(F.sum("sanctioned"), F.lit(0))
-    totals = counted.groupBy(*keys).agg(
-        F.sum("__n").alias("count"),
+    credit = F.col("count_sanctioned_limit") if generic else F.coalesce("sum_sanctioned_limit", F.lit(0))
+    return found.select(
+        *keys,
+        F.col("rows").alias("count"),
         credit.alias("approved_credit_count"),
-        (F.sum("limits").cast("double") / known).alias("average_eligible_credit"),
-        F.coalesce(F.sum("limits"), F.lit(0)).alias("sum_eligible_credit"),
+        (limits.cast("double") / F.nullif(known, F.lit(0))).alias("average_eligible_credit"),
+        "median_eligible_credit",
+        *([F.coalesce(limits, F.lit(0)).alias("sum_eligible_credit")] if generic else []),
     )
-    medians = median_of_counts(counted, keys, "median_eligible_credit")
-    columns = [*keys, "count", "approved_credit_count", "average_eligible_credit", "median_eligible_credit"]
-    return totals.join(medians, keys, "left").select(*columns, *(["sum_eligible_credit"] if generic else []))
 
 
 def completed_rows(journey: DataFrame, code: str, as_of, days: int = 15) -> DataFrame:
@@ -437,23 +431,42 @@ def platform_and_type(rows: DataFrame, date_column: str, code: str, period_name:
 PUBLISHED = ("grouped completed on", "grouped completed on days", "grouped created on", "grouped fetched on", "grouped pledged on")
 
 
-def published_rollup(title: str, journeys: Mapping[str | None, DataFrame], as_of) -> DataFrame:
-    """One published table. ``journeys`` holds the journey of the current applications (None) and of the two steps."""
-    if title == "grouped fetched on":
-        return platform_and_type(journeys[C.FETCH_STEP], "created_on", "M", "created_month")
-    if title == "grouped pledged on":
-        return platform_and_type(journeys[C.PLEDGE_STEP], "created_on", "M", "created_month")
-    if title == "grouped created on":
-        return platform_and_type(journeys[None], "created_on", "M", "created_month")
-    code = "D" if title == "grouped completed on days" else "M"
-    return platform_and_type(completed_rows(journeys[None], code, as_of), "completed_on", code, "completed_month")
+def step_rollup(journey: DataFrame) -> DataFrame:
+    """The published table on the journey of one step."""
+    return platform_and_type(journey, "created_on", "M", "created_month")
 
 
 def published_rollups(t: Mapping[str, DataFrame], platforms: Platforms, as_of) -> dict[str, DataFrame]:
-    """All five published tables by title; the journey that feeds three of them is computed once."""
-    journeys = {
-        None: settle(journey_of(t, platforms)),
-        C.FETCH_STEP: journey_of(t, platforms, C.FETCH_STEP),
-        C.PLEDGE_STEP: journey_of(t, platforms, C.PLEDGE_STEP),
+    """All five published tables by title.
+
+    The three tables on the current applications come from one pass over the journey: each of its rows is
+    counted under every (table, section, name) that it belongs to.
+    """
+    current = current_rollups(journey_of(t, platforms), as_of)
+    steps = {"grouped fetched on": C.FETCH_STEP, "grouped pledged on": C.PLEDGE_STEP}
+    stepped = {title: step_rollup(journey_of(t, platforms, step)) for title, step in steps.items()}
+    return {title: (current | stepped)[title] for title in PUBLISHED}
+
+
+def current_rollups(journey: DataFrame, as_of) -> dict[str, DataFrame]:
+    """The published tables on the current applications, filters on one summary of (table, section, period, name)."""
+    done = F.col("app_current_step_id").isNull() & (F.col("application_state") == C.COMPLETED)
+    recent = done & since_instant(F.col("completed_on"), as_of, 15)
+    kinds = {
+        "grouped completed on": (done, "completed_on", "M", "completed_month"),
+        "grouped completed on days": (recent, "completed_on", "D", "completed_month"),
+        "grouped created on": (F.lit(True), "created_on", "M", "created_month"),
+    }
+    uses = [
+        F.when(test & F.col(date).isNotNull(), F.struct(F.lit(title).alias("title"), F.lit(section).alias("section"), period(F.col(date), code).alias("period"), F.col(name).alias("name")))
+        for title, (test, date, code, _) in kinds.items()
+        for section, name in enumerate(("platform_name", "platform_type"))
+    ]
+    rows = journey.select(_LIMIT, "sanctioned_limit", F.explode(F.filter(F.array(*uses), lambda u: u["name"].isNotNull())).alias("u"))
+    summary = _summary(rows.select("u.*", _LIMIT, "sanctioned_limit"), ["title", "section", "period", "name"])
+    return {
+        title: summary.filter(F.col("title") == title)
+        .drop("title", "section")
+        .withColumnsRenamed({"period": period_name, "name": "platform_name"})
+        for title, (_, _, _, period_name) in kinds.items()
     }
-    return {title: published_rollup(title, journeys, as_of) for title in PUBLISHED}

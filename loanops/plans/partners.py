@@ -12,7 +12,7 @@ from loanops import constants as C
 from loanops.functions.rules import bracketed, safe_ratio, trimmed
 from loanops.functions.timekit import instant, month_gap, month_start, to_business_time, trunc, whole_days
 from loanops.operators.history import next_after
-from loanops.operators.joins import HOT_PARTS, Dimension, full_coalesce, left_dims, spread_join
+from loanops.operators.joins import HOT_PARTS, Dimension, left_dims, per_key, spread_join
 
 # ---------------------------------------------------------------- payouts
 
@@ -124,7 +124,6 @@ def _dated_applications(
     history_start: datetime | str,
     exclude_ids: Sequence[object],
     dedupe_history: bool,
-    hot_parts: int,
 ) -> DataFrame:
     """Weighted applications with ``dates``: all completion dates that apply, each with its source.
 
@@ -141,25 +140,10 @@ def _dated_applications(
         C.IN_PROGRESS,
         C.COMPLETED,
         "moved_on",
-        hot_parts,
     )
     rows = left_dims(rows, [Dimension(moved, "application_id", "application_id", {"moved_on": "moved_on"})])
-    first = (
-        t["credit_main"]
-        .filter(F.col("created_on") < cutoff)
-        .groupBy(F.col("account_id").alias("__account"))
-        .agg(F.min("created_on").alias("first_credit_on"))
-    )
-    rows = spread_join(
-        rows,
-        first,
-        ["account_id"],
-        ["__account"],
-        "left",
-        hot="left",
-        left_keys=t["credit_applications_entity"].select("account_id"),
-        hot_parts=hot_parts,
-    ).drop("__account")
+    first = per_key(t["credit_main"].filter(F.col("created_on") < cutoff), ["account_id"], F.min("created_on").alias("first_credit_on"))
+    rows = left_dims(rows, [Dimension(first, "account_id", "account_id", {"first_credit_on": "first_credit_on"})])
     completed = F.col("application_state") == C.COMPLETED
     undated = completed & F.col("completed_on").isNull()
     borrower = F.col("application_type") == C.BORROWER_TYPE
@@ -182,17 +166,16 @@ def completion_dates(
     t: Mapping[str, DataFrame],
     history_start: datetime | str,
     exclude_ids: Sequence[object] = (),
-    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Completion dates by source. An application may have several, each with its own tag."""
-    rows = _dated_applications(t, history_start, exclude_ids, True, hot_parts)
+    rows = _dated_applications(t, history_start, exclude_ids, True)
     return rows.select("application_id", F.explode("dates").alias("d")).select(
         "application_id", "d.completed_on", "d.date_source"
     )
 
 
-def _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_parts) -> DataFrame:
-    rows = _dated_applications(t, history_start, exclude_ids, dedupe_history, hot_parts)
+def _weighted_credits(t, history_start, exclude_ids, dedupe_history) -> DataFrame:
+    rows = _dated_applications(t, history_start, exclude_ids, dedupe_history)
     rows = rows.filter((F.col("application_state") == C.COMPLETED) & F.col("partner_account_id").isNotNull())
     limits = Dimension(
         t["credit_application_meta_data"],
@@ -237,8 +220,8 @@ def completed_credits(
     reports take that form and give the same figures.
     """
     if dedupe_history or not expand:
-        return _weighted_credits(t, history_start, exclude_ids, dedupe_history, hot_parts)
-    rows = _weighted_credits(t, history_start, exclude_ids, True, hot_parts).drop("copies")
+        return _weighted_credits(t, history_start, exclude_ids, dedupe_history)
+    rows = _weighted_credits(t, history_start, exclude_ids, True).drop("copies")
     done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
     side = done.select(F.col("application_id").alias("__app"))
     return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_parts=hot_parts).drop("__app")
@@ -277,8 +260,8 @@ def partner_history(credits: DataFrame, as_of) -> DataFrame:
     )
 
 
-def partner_classes(history: DataFrame, as_of) -> DataFrame:
-    """Customers per month and the two partner groups: size (gold / rest / recent) and activity (churn / active)."""
+def partner_classes(history: DataFrame, as_of, *more: str) -> DataFrame:
+    """Customers per month and the two partner groups: size (gold / rest / recent) and activity (churn / active); ``more`` columns stay."""
     first = month_start(as_of)
     reference = instant(first - timedelta(days=31))
     months = month_gap(F.col("previous_month"), F.col("partner_activated_month"))
@@ -307,6 +290,7 @@ def partner_classes(history: DataFrame, as_of) -> DataFrame:
         .alias("mfd_group_1"),
         whole_days(instant(first - timedelta(days=1)), F.col("partner_last_app_month")).alias("days_diff"),
         F.when(idle > C.RECENT_DAYS, "CHURN").when(idle <= C.RECENT_DAYS, "ACTIVE").alias("mfd_group_2"),
+        *more,
     )
 
 
@@ -344,34 +328,78 @@ def partner_last_month(credits: DataFrame, as_of) -> DataFrame:
     )
 
 
+def partner_periods(credits: DataFrame, as_of) -> DataFrame:
+    """Both periods in one pass over the credits: the columns of ``partner_history``, and of ``partner_last_month`` as ``now_*``.
+
+    A partner without rows in a period has nulls there.
+    """
+    started, limit, copies = F.col("current_step_started_on"), F.col("pledged_credit_limit"), _copies(credits)
+    kind = F.col("application_type")
+    earlier = started < instant(month_start(as_of, 1))
+    now = (started >= instant(month_start(as_of, 1))) & (started < instant(month_start(as_of)))
+    new, renewal = kind == C.BORROWER_TYPE, kind == C.RENEWAL_TYPE
+    kinds = {"new": new, "renewal": renewal, "existing": kind != C.BORROWER_TYPE}
+    pledged = limit * copies
+    named = F.col("application_id").isNotNull()
+    per_application = (
+        credits.filter(started < instant(month_start(as_of)))
+        .groupBy("partner_account_id", "application_id")
+        .agg(
+            F.min(F.when(earlier, started)).alias("then_first"),
+            F.max(F.when(earlier, started)).alias("then_last"),
+            F.max(F.when(earlier, limit)).alias("then_limit"),
+            F.sum(F.when(earlier, pledged)).alias("then_pledged"),
+            F.sum(F.when(earlier & new, copies)).alias("then_customers"),
+            F.min(F.when(now, started)).alias("now_first"),
+            F.max(F.when(now, started)).alias("now_last"),
+            F.sum(F.when(now, pledged)).alias("now_pledged"),
+            F.sum(F.when(now & new, pledged)).alias("now_pledged_new"),
+            F.sum(F.when(now & renewal, pledged)).alias("now_pledged_renewal"),
+            *[F.bool_or(F.coalesce(now & test, F.lit(False))).alias(f"is_{name}") for name, test in kinds.items()],
+        )
+    )
+    seen_now, seen_then = F.max("now_first").isNotNull(), F.max("then_first").isNotNull()
+    present = named & F.col("now_first").isNotNull()
+    return (
+        per_application.groupBy("partner_account_id")
+        .agg(
+            F.min("then_first").alias("partner_activated_on"),
+            F.max("then_last").alias("partner_last_app_date"),
+            F.max("then_limit").alias("max_pledged_credit_limit"),
+            _money(F.sum("then_pledged")).alias("sum_pledged_credit_limit"),
+            F.when(seen_then, F.coalesce(F.sum(F.when(named, F.col("then_customers"))), F.lit(0))).cast("long").alias("total_customers"),
+            F.min("now_first").alias("now_activated_on"),
+            F.max("now_last").alias("now_last_app_date"),
+            _money(F.sum("now_pledged")).alias("now_sum_pledged_credit_limit"),
+            F.when(seen_now, F.count_if(present)).alias("now_applications"),
+            *[F.when(seen_now, F.count_if(present & F.col(f"is_{name}"))).alias(f"now_{name}_applications") for name in kinds],
+            _money(F.sum("now_pledged_new")).alias("now_new_pledged_limits"),
+            _money(F.sum("now_pledged_renewal")).alias("now_renewal_pledged_limits"),
+        )
+        .withColumns(
+            {
+                "previous_month": instant(month_start(as_of, 2)),
+                "partner_activated_month": trunc("month", F.col("partner_activated_on")),
+                "partner_last_app_month": trunc("month", F.col("partner_last_app_date")),
+            }
+        )
+    )
+
+
 def partner_scorecard(
     t: Mapping[str, DataFrame],
     history_start: datetime | str,
     as_of,
     exclude_ids: Sequence[object] = (),
     dedupe_history: bool = False,
-    hot_parts: int = HOT_PARTS,
 ) -> DataFrame:
     """Last month against the classes of all earlier months, full outer; no history means a new partner."""
-    credits = completed_credits(t, history_start, exclude_ids, dedupe_history, expand=False, hot_parts=hot_parts)
-    return scorecard(partner_last_month(credits, as_of), partner_classes(partner_history(credits, as_of), as_of))
+    credits = completed_credits(t, history_start, exclude_ids, dedupe_history, expand=False)
+    return scorecard(partner_periods(credits, as_of), as_of)
 
 
-def scorecard(last_month: DataFrame, classes: DataFrame) -> DataFrame:
-    now = last_month.withColumnsRenamed(
-        {
-            "partner_activated_on": "now_activated_on",
-            "partner_last_app_date": "now_last_app_date",
-            "sum_pledged_credit_limit": "current_sum_pledged_credit_limit",
-            "applications": "current_applications",
-            "total_new_applications": "current_new_applications",
-            "total_renewal_applications": "current_renewal_applications",
-            "total_existing_applications": "current_existing_applications",
-            "total_new_pledged_limits": "current_new_pledged_limits",
-            "total_renewal_pledged_limits": "current_renewal_pledged_limits",
-        }
-    )
-    both = full_coalesce(now, classes, ["partner_account_id"])
+def scorecard(periods: DataFrame, as_of) -> DataFrame:
+    both = partner_classes(periods, as_of, *[c for c in periods.columns if c.startswith("now_")])
     fresh = F.col("partner_activated_on").isNull()
     return both.select(
         "partner_account_id",
@@ -383,12 +411,12 @@ def scorecard(last_month: DataFrame, classes: DataFrame) -> DataFrame:
         F.col("total_customers").alias("prev_total_customers"),
         F.col("sum_pledged_credit_limit").alias("prev_sum_pledged_credit_limit"),
         F.col("max_pledged_credit_limit").alias("prev_max_pledged_credit_limit"),
-        F.when(F.col("current_applications") > 0, "case done").otherwise("case not done").alias("case_done_flag"),
-        "current_applications",
-        "current_new_applications",
-        "current_renewal_applications",
-        "current_existing_applications",
-        "current_new_pledged_limits",
-        "current_renewal_pledged_limits",
-        "current_sum_pledged_credit_limit",
+        F.when(F.col("now_applications") > 0, "case done").otherwise("case not done").alias("case_done_flag"),
+        F.col("now_applications").alias("current_applications"),
+        F.col("now_new_applications").alias("current_new_applications"),
+        F.col("now_renewal_applications").alias("current_renewal_applications"),
+        F.col("now_existing_applications").alias("current_existing_applications"),
+        F.col("now_new_pledged_limits").alias("current_new_pledged_limits"),
+        F.col("now_renewal_pledged_limits").alias("current_renewal_pledged_limits"),
+        F.col("now_sum_pledged_credit_limit").alias("current_sum_pledged_credit_limit"),
     )

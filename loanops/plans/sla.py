@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from loanops import constants as C
 from loanops.functions.timekit import elapsed, instant, level, midnight, same_day, since_day
 from loanops.operators.history import first_state_times
-from loanops.operators.joins import Dimension, left_dims
+from loanops.operators.joins import Dimension, left_dims, semi_ids
 
 LOOKBACK_DAYS = 40
 HOURS = (timedelta(hours=2), timedelta(hours=6))
@@ -250,12 +250,12 @@ def foreclosures(
     return sla_cube(items, FORECLOSURE, as_of, lookback_days)
 
 
-def account_openings(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, **options) -> DataFrame:
-    return sla_cube(credit_timeline(t, terms), OPENING, as_of, **options)
+def account_openings(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    return sla_cube(recent_timeline(t, terms, as_of, lookback_days), OPENING, as_of, lookback_days)
 
 
-def lodgements(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, **options) -> DataFrame:
-    return sla_cube(credit_timeline(t, terms), LODGEMENT, as_of, **options)
+def lodgements(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, lookback_days: int = LOOKBACK_DAYS) -> DataFrame:
+    return sla_cube(recent_timeline(t, terms, as_of, lookback_days), LODGEMENT, as_of, lookback_days)
 
 
 def enhancements(t: Mapping[str, DataFrame], as_of, **options) -> DataFrame:
@@ -276,6 +276,13 @@ def revocation_items(t: Mapping[str, DataFrame], terms: LenderTerms) -> DataFram
     )
 
 
+def recent_timeline(t: Mapping[str, DataFrame], terms: LenderTerms, as_of, lookback_days: int) -> DataFrame:
+    """The timeline of the credits of the last days only: the history of all others is dropped before it is shuffled and summed."""
+    recent = t["credit_main"].filter(since_day(F.col("created_on"), as_of, lookback_days))
+    history = semi_ids(t["credit_audit"], recent, "credit_id", "credit_id")
+    return credit_timeline({"credit_main": recent, "credit_audit": history}, terms)
+
+
 def credit_timeline(t: Mapping[str, DataFrame], terms: LenderTerms) -> DataFrame:
     """Credits with the times they were opened and lodged and both deadlines; the history is read once."""
     times = first_state_times(

@@ -42,16 +42,14 @@ def test_keep_extreme(make):
     assert rows_of(history.group_max_rows(frame, ["p"], "x").select("v")) == [(1,), (2,)]
 
 
-@pytest.mark.parametrize("hot_parts", [1, 10**6])
-def test_group_min_equals_self_join(make, hot_parts):
+def test_group_min_equals_self_join(make):
     frame = make("k int, x ts, v int", [(1, at(D(4)), 1), (1, at(D(2)), 2), (2, None, 3), (None, at(D(1)), 4)])
     plain = frame.join(frame.groupBy("k").agg(F.min("x").alias("low")), "k").select("k", "x", "v", "low")
-    ours = history.with_group_min(frame, ["k"], "x", "low", hot_parts=hot_parts).select("k", "x", "v", "low")
+    ours = history.with_group_min(frame, ["k"], "x", "low").select("k", "x", "v", "low")
     assert rows_of(ours) == rows_of(plain)
 
 
-@pytest.mark.parametrize("hot_parts", [1, 10**6])
-def test_next_after_is_strict(make, hot_parts):
+def test_next_after_is_strict(make):
     rows = [
         ("a", "RUN", at(D(1))),
         ("a", "DONE", at(D(2))),
@@ -64,7 +62,7 @@ def test_next_after_is_strict(make, hot_parts):
         ("c", "DONE", at(D(2))),
     ]
     frame = make("k string, s string, x ts", rows)
-    out = history.next_after(frame, "k", "s", "x", "RUN", "DONE", hot_parts=hot_parts)
+    out = history.next_after(frame, "k", "s", "x", "RUN", "DONE")
     assert rows_of(out) == [("a", at(D(4)))]
 
 
@@ -100,6 +98,26 @@ def test_median_of_one_hot_group(spark):
     assert aggregates.exact_median(frame, ["k"], "v").first()["median"] == 100.0
 
 
+@pytest.mark.parametrize("value", ["id / 2e8", "1.7e9 + id / 1e6", "-id", "id % 3", "if(id % 2 = 0, double('nan'), id)", "if(id = 5, double('inf'), id)"])
+def test_median_of_hard_values_in_one_group(spark, value):
+    frame = spark.range(20000, numPartitions=6).selectExpr("'x' as k", f"double({value}) as v")
+    known = sorted(r["v"] for r in frame.collect() if r["v"] == r["v"])
+    assert aggregates.exact_median(frame, ["k"], "v").first()["median"] == statistics.median(known)
+
+
+def test_no_task_sorts_more_than_a_small_share_of_a_hot_group(spark):
+    frame = spark.range(200_000, numPartitions=8).select(F.lit("x").alias("k"), (F.xxhash64("id") / 1e9).alias("v"))
+    assert aggregates.median_and_sums(frame, ["k"], "v", ()).first()["rows"] == 200_000
+    ranks = frame.agg(F.percentile_approx("v", [0.5 - 4 / aggregates.SKETCH, 0.5 + 4 / aggregates.SKETCH], aggregates.SKETCH)).first()[0]
+    assert 0 < frame.filter(F.col("v").between(*ranks)).count() < 0.01 * 200_000
+
+
+def test_median_and_sums_with_null_values_and_keys(make):
+    frame = make("k string, v double, w int", [("a", None, 1), ("a", None, 2), (None, 3.0, 4), (None, 5.0, None)])
+    got = aggregates.median_and_sums(frame, ["k"], "v", ["w"], "m")
+    assert rows_of(got) == sorted([("a", None, 2, 3, 2), (None, 4.0, 2, 4, 1)], key=repr)
+
+
 def test_distinct_counts(make):
     rows = [("d", 1, "u", "ok"), ("d", 1, "u", "bad"), ("d", 2, None, "ok"), ("d", None, "w", None), ("e", None, None, "ok"), (None, 3, "u", "ok")]
     frame = make("g string, a int, b string, s string", rows)

@@ -69,9 +69,8 @@ def test_effective_applications_fan_out_by_history(tables, hot_parts):
     assert partners.effective_applications(tables, dedupe_history=True).count() == 8
 
 
-@pytest.mark.parametrize("hot_parts", [1, 10**6])
-def test_completion_dates_from_four_sources(tables, hot_parts):
-    got = partners.completion_dates(tables, START, exclude_ids=(7,), hot_parts=hot_parts)
+def test_completion_dates_from_four_sources(tables):
+    got = partners.completion_dates(tables, START, exclude_ids=(7,))
     assert rows_of(got) == [
         (1, at(T(5, 20)), partners.OWN_DATE),
         (2, at(T(5, 12)), partners.FROM_HISTORY),
@@ -132,8 +131,7 @@ def test_scorecard(make):
         (4, 6, new, 500, "2024-03-01 00:00:00"),
     ]
     credits = _credits(make, rows)
-    last = partners.partner_last_month(credits, AS_OF)
-    out = partners.scorecard(last, partners.partner_classes(partners.partner_history(credits, AS_OF), AS_OF))
+    out = partners.scorecard(partners.partner_periods(credits, AS_OF), AS_OF)
     assert len(out.columns) == 17
     shown = out.select(
         "partner_account_id", "mfd_group_1", "case_done_flag", "current_applications", "current_new_applications",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanops import constants as C
 from loanops.plans import sla
+from loanops.sources import sinks
 from tests.conftest import at, rows_of
 
 NOW = "2024-03-10 12:00:00"
@@ -233,7 +234,7 @@ def test_credit_arms_share_one_pass_over_the_history(credits):
     assert board[("Beta", "ACCOUNT OPENING")] == (0, 1, 0, 0, 1, 0, 0, 0, 0)
 
 
-def test_display_names_and_order(credits, make):
+def test_display_names_and_order(credits, make, tmp_path):
     items = "credit_id int, created_on ts, last_updated_on ts"
     t = dict(credits) | {
         "enhance_limit_request": make(REQUESTS, []),
@@ -248,6 +249,10 @@ def test_display_names_and_order(credits, make):
     assert board.count() == 6
     published = sla.published_reports(t, TERMS, NOW)
     assert len(published) == 8 and published["Data Lodgement"].agg(F.sum("count")).first()[0] == 7
+    sinks.publish_all(published, str(tmp_path), orders={"Aggregate sheet Overall Data": ["Lender", "Request Type"]})
+    back = board.sparkSession.read.parquet(str(tmp_path / "aggregate_sheet_overall_data"))
+    assert back.count() == 6 and "5d_plus_unresolved_sla_breached" in back.columns
+    assert len(list(tmp_path.iterdir())) == 8
 
 
 def test_lookback_reaches_both_scans_below_the_joins(spark, credits, make, tmp_path):
@@ -263,3 +268,5 @@ def test_lookback_reaches_both_scans_below_the_joins(spark, credits, make, tmp_p
         plan = frame._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(created_on,2024-01-30T00:00)" in plan
     assert "In(credit_status, [ACTIVE,APPROVED_NOT_DISBURSED,PENDING_CLOSURE" in plan
+    # the history loses all other credits before it is summed
+    assert plan.rindex("LeftSemi") > plan.index("HashAggregate") and plan.index("partial_min") < plan.index("LeftSemi")
