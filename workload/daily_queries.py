@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanops.functions.rules import flatten
@@ -66,9 +69,10 @@ def _(t):
     return daily.foreclosure_collections(t, AS_OF)
 
 
-@query("b17_split_by_lender", f"select * from ({COLLECTED}) where lender_id = 'Alpha'")
+@query("b17_split_by_lender", f"select *, if(lender_id in ('Alpha', 'Beta'), lender_id, 'rest') as part from ({COLLECTED})")
 def _(t):
-    return daily.by_lender(daily.foreclosure_collections(t, AS_OF), ["Alpha", "Beta"])["Alpha"]
+    parts = daily.by_lender(daily.foreclosure_collections(t, AS_OF), ["Alpha", "Beta"])
+    return reduce(DataFrame.unionByName, [f.withColumn("part", F.lit(name or "rest")) for name, f in parts.items()])
 
 
 @query("j38_repayments_of_day", REPAID)

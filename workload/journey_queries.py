@@ -181,6 +181,11 @@ def _(t):
     return _journey(t)
 
 
+@query("j23_customer_journey_hot", JOURNEY)
+def _(t):
+    return J.journey_of(t, PLATFORMS, hot_parts=10**9)
+
+
 @query("j23_customer_journey_fetch", JOURNEY_FETCHED)
 def _(t):
     return _journey(t, FETCH_STEP)
@@ -235,8 +240,9 @@ def _(t):
 
 def _published(t, title):
     steps = {"grouped fetched on": FETCH_STEP, "grouped pledged on": PLEDGE_STEP}
-    step = steps.get(title)
-    return _rounded(J.published_rollup(title, {step: _journey(t, step)}, EVENTS_AS_OF))
+    if title in steps:
+        return _rounded(J.step_rollup(_journey(t, steps[title])))
+    return _rounded(J.current_rollups(_journey(t), EVENTS_AS_OF)[title])
 
 
 @query("j29_completed_months", _two(JOURNEY, "completed_on", "%Y-%m", "completed_month", _DONE))

@@ -186,6 +186,18 @@ def _(t):
     return joins.spread_join(left, right, ["order_person"], ["event_person"], "full")
 
 
+@query(
+    "c5_full_rows_hot",
+    """select a.o_orderkey, a.k as order_person, b.event_id, b.k as event_person
+       from (select o_orderkey, nullif(o_custkey % 400, 7) as k from orders) a
+       full join (select event_id, nullif(user_id + event_id % 300, 11) as k from events where event_type = 'signup') b on a.k = b.k""",
+)
+def _(t):
+    left = t["orders"].select("o_orderkey", F.expr("nullif(o_custkey % 400, 7)").alias("order_person"))
+    right = t["events"].filter("event_type = 'signup'").select("event_id", F.expr("nullif(user_id + event_id % 300, 11)").alias("event_person"))
+    return joins.spread_join(left, right, ["order_person"], ["event_person"], "full", hot_parts=5000)
+
+
 _KEYED = "select event_id, nullif(user_id, 3) as person, case when user_id % 5 > 0 then cast(ts as date) end as seen from events"
 
 
@@ -288,6 +300,23 @@ def _(t):
     return aggregates.exact_median(signed, ["event_type"], "v").withColumn("median", F.round("median", 4))
 
 
+@query(
+    "d7_median_hard_values",
+    """select event_type, median(1.7e9 + event_id / 1024) as far, median(value / 1e9) as small,
+       median(case when event_id % 7 > 0 then value end) as known from events group by 1""",
+)
+def _(t):
+    """A narrow range far from 0, values near 0, and values that are not a number."""
+    rows = t["events"].select(
+        "event_type",
+        (F.lit(1.7e9) + F.col("event_id") / 1024).alias("far"),
+        (F.col("value") / F.lit(1e9)).alias("small"),
+        F.when(F.col("event_id") % 7 > 0, F.col("value")).otherwise(F.lit(float("nan"))).alias("known"),
+    )
+    parts = [aggregates.exact_median(rows, ["event_type"], c, c) for c in ("far", "small", "known")]
+    return parts[0].join(parts[1], "event_type").join(parts[2], "event_type")
+
+
 @query(
     "d10_count_if",
     """select user_id, count(case when event_type = 'click' then 1 end) as clicks, count(case when value > 50 then 1 end) as large,

@@ -11,8 +11,10 @@ from workload.standins import EVENTS_AS_OF
 
 PLATFORM = 4
 START = "2017-01-01"
-HISTORY_START = "2023-09-15 07:32:12.927"
+HISTORY_START = "2023-09-15 00:00:00"
 EXCLUDED = (17, 23)
+# A share of the rows that every key has: all of them are spread.
+EVERY_KEY = 10**9
 ALL_DATES = {"history_start": HISTORY_START, "exclude_ids": EXCLUDED}
 
 FUNNEL = """
@@ -193,6 +195,11 @@ def _(t):
     return funnel.platform_lead_funnel(t, journey.portfolio_leads(t), PLATFORM, START)
 
 
+@query("j32_platform_lead_funnel_hot", LEAD_FUNNEL)
+def _(t):
+    return funnel.platform_lead_funnel(t, journey.portfolio_leads(t), PLATFORM, START, hot_parts=EVERY_KEY)
+
+
 @query("j33_payment_spans", SPANS)
 def _(t):
     return partners.payment_spans(t["payout_transactions"])
@@ -203,22 +210,32 @@ def _(t):
     return partners.partner_status(t)
 
 
-@query(
-    "j35_partner_payout_check",
-    f"""select coalesce(s.partner_account_id, p.partner_account_id) as partner_account_id, s.* exclude (partner_account_id),
+PAYOUT_CHECK = f"""select coalesce(s.partner_account_id, p.partner_account_id) as partner_account_id, s.* exclude (partner_account_id),
         p.* exclude (partner_account_id) replace (
           if(trim(bank_account_number) <> '', '[' || trim(bank_account_number) || ']', trim(bank_account_number)) as bank_account_number)
-        from ({SPANS}) s full join ({STATUS}) p on p.partner_account_id = s.partner_account_id""",
-)
+        from ({SPANS}) s full join ({STATUS}) p on p.partner_account_id = s.partner_account_id"""
+
+
+@query("j35_partner_payout_check", PAYOUT_CHECK)
 def _(t):
     return partners.partner_payout_check(t)
 
 
+@query("j35_partner_payout_check_hot", PAYOUT_CHECK)
+def _(t):
+    return partners.partner_payout_check(t, hot_parts=EVERY_KEY)
+
+
 @query("j42_effective_applications", EFFECTIVE)
 def _(t):
     return partners.effective_applications(t)
 
 
+@query("j42_effective_applications_hot", EFFECTIVE)
+def _(t):
+    return partners.effective_applications(t, hot_parts=EVERY_KEY)
+
+
 @query("j42_effective_once", EFFECTIVE_ONCE)
 def _(t):
     return partners.effective_applications(t, dedupe_history=True)
@@ -234,6 +251,11 @@ def _(t):
     return partners.completed_credits(t, HISTORY_START, EXCLUDED)
 
 
+@query("j44_completed_credits_hot", CREDITS)
+def _(t):
+    return partners.completed_credits(t, HISTORY_START, EXCLUDED, hot_parts=EVERY_KEY)
+
+
 @query("j45_partner_history", HISTORY)
 def _(t):
     return partners.partner_history(_credits(t), EVENTS_AS_OF)
