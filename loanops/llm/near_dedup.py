@@ -10,10 +10,15 @@ are opened, t = k (ln k + 4); documents left with an empty coordinate open twice
 shingles plus t, not their product with the coordinates.
 
 Links: documents of equal word sequences are one node first. Nodes that share one of ``BANDS`` bands are candidates; a pair at the threshold is missed
-with probability (1 - 0.8^5)^26 = 3e-5. A bucket never becomes all its pairs: each round, buckets that still hold several components test a
-few leaders, taken outside the bucket's largest component and four times as many each round, against the members in other components, until no untested pair could
-join two components. Every link between candidates is therefore reflected in the components. Similarities are
-computed from the whole texts.
+with probability (1 - 0.8^5)^26 = 3e-5. What is wanted are components, so a bucket never becomes all its pairs:
+
+1. Every bucket tests one leader against its members, from whole texts, and the links are joined to components.
+2. Where a bucket still holds several components, only links between these can matter. Buckets of up to ``SMALL`` members test their untested
+   pairs outside the largest component as pairs, each once for all buckets. Larger ones are dealt into blocks of bounded size; a task compares the
+   members outside the largest component in one block with all members of another by matrix products of shingle counts and
+   returns a spanning forest of the links, not the links.
+
+Every link between candidates is therefore reflected in the components, and nothing is capped.
 
 Defined cases: null, empty and wordless texts are equal texts of no words, one class. Of a class the row with the least id is
 kept (null ids last, then by hash of the text); of rows repeated in id and text one stays. An empty table gives none. Other columns pass through.
@@ -25,7 +30,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .textkit import ASCII_LOWER, Texts, arrow_sized, chunks_of, free_name, grams, mix, mix_int, owners, settled, span_hashes, spans, sums_by
@@ -35,6 +40,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 COORDINATES = BANDS * ROWS
 DARTS = COORDINATES * (math.log(COORDINATES) + 4)
+SMALL = 8
+BLOCK_NODES = 256
+BLOCK_BYTES = 4 << 20
+COLUMNS = 8192
+BROADCAST_ROWS = 1_000_000  # keys of up to so many rows (at most 40 MB) are broadcast, more are joined by shuffle
 FIRST_RANK = -4  # the lowest rank region is [0, 2 ** FIRST_RANK)
 TEXTS_AT_ONCE = 1 << 20
 
@@ -120,7 +130,7 @@ def dart_signatures(owner: np.ndarray, keys: np.ndarray, weights: np.ndarray, te
 
 
 def band_keys(signature: np.ndarray) -> np.ndarray:
-    """(texts, BANDS) hashes of ROWS neighbouring coordinates."""
+    """(texts, BANDS) hashes of ROWS neighbouring coordinates; different bands have different keys."""
     salts = mix(np.arange(1, COORDINATES + 1, dtype=np.uint64))
     return mix(mix(signature + salts).reshape(len(signature), BANDS, ROWS).sum(2, dtype=np.uint64))
 
@@ -194,6 +204,75 @@ def similar_pairs(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
 
 
+def _elements(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, element) of all texts, where the n-th copy of a shingle is an element of its own, and elements of each text."""
+    owner, element, size = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], []
+    for texts in chunks_of(column, TEXTS_AT_ONCE):
+        o, key, count = weighted(*shingled(texts)[:2])
+        turn = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        owner.append(np.repeat(o, count) + texts.first)
+        element.append(mix(np.repeat(key, count) + turn.astype(np.uint64)))
+        size.append(np.bincount(np.repeat(o, count), minlength=len(texts.offsets) - 1))
+    return np.concatenate(owner), np.concatenate(element), np.concatenate(size) if size else np.zeros(0, np.int64)
+
+
+def block_similarity(left: pa.Array, right: pa.Array) -> np.ndarray:
+    """Weighted Jaccard similarity of each left with each right text, by products of bounded slices of their element matrices."""
+    (lo, le, ln), (ro, re, rn) = _elements(left), _elements(right)
+    both = np.intersect1d(le, re)
+    shared = np.zeros((len(left), len(right)))
+    for at in range(0, len(both), COLUMNS):
+        own = both[at : at + COLUMNS]
+        parts = []
+        for owner, element, rows in ((lo, le, len(left)), (ro, re, len(right))):
+            place = np.minimum(np.searchsorted(own, element), len(own) - 1)
+            here = own[place] == element
+            part = np.zeros((rows, len(own)), np.float32)
+            part[owner[here], place[here]] = 1
+            parts.append(part)
+        shared += parts[0] @ parts[1].T
+    return shared / np.maximum(ln[:, None] + rn[None] - shared, 1)
+
+
+def forest(roots: np.ndarray, pairs: np.ndarray) -> list[int]:
+    """Positions of the pairs (rows of ``roots`` places) that join two components not joined before."""
+    parent = {int(r): int(r) for r in roots}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    kept = []
+    for k, (a, b) in enumerate(pairs):
+        x, y = find(int(roots[a])), find(int(roots[b]))
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(k)
+    return kept
+
+
+def block_links(blocks: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): links that join components within each (bucket, left, right) group of blocks (side, node, root, text)."""
+
+    def run(table: pa.Table) -> pa.Table:
+        side = table["side"].to_numpy()
+        node, root = table["node"].to_numpy(), table["root"].to_numpy()
+        text = table["text"].combine_chunks()
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        a, b = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(left) and len(right):
+            close = block_similarity(text.take(pa.array(left)), text.take(pa.array(right))) >= similarity
+            x, y = np.nonzero(close & (root[left][:, None] != root[right][None]))
+            pairs = np.stack([left[x], right[y]], 1)
+            kept = pairs[forest(root, pairs)] if len(pairs) else pairs
+            a, b = node[kept[:, 0]], node[kept[:, 1]]
+        return pa.table({"a": a, "b": b})
+
+    return blocks.groupBy("bucket", "left", "right").applyInArrow(run, "a long, b long")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root): the least node of each connected component, for all nodes with an edge; alternating large and small stars."""
     now = settled(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
@@ -216,49 +295,60 @@ def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
     return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
+def _looked_up(rows: DataFrame, keys: DataFrame, condition: Column, how: str) -> DataFrame:
+    """Join of documents to settled keys; few keys are broadcast, so that the texts are not shuffled."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, condition, how)
+
+
+def _tested(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    whole = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
+    whole = whole.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
+    return settled(similar_pairs(whole, similarity).select("a", "b"))
+
+
 def linked_nodes(nodes: DataFrame, docs: DataFrame, id_column: str, text_column: str, similarity: float) -> DataFrame:
     """(node, root) of all nodes with a link; ``nodes`` has (node, id, own, bands), one row for each word sequence."""
-    buckets = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = buckets.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    members = settled(buckets.join(shared, ["band", "key"]).select(F.xxhash64("band", "key").alias("bucket"), "node"))
-    candidates = nodes.join(members.select("node").distinct(), "node").select("node", F.col("id").alias("of"), "own")
+    buckets = nodes.select("node", F.explode("bands").alias("bucket"))
+    # grouped by a hash as well, so that the join exchanges both sides and hot buckets can be split
+    shared = buckets.groupBy("bucket", F.xxhash64("bucket")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
+    members = settled(buckets.join(shared, "bucket"))
+    candidates = settled(nodes.join(members.select("node").distinct(), "node").select("node", F.col("id").alias("of"), F.col("own").alias("its")))
     text = F.col(f"`{text_column}`")
     told = docs.select(F.col(f"`{id_column}`").alias("id"), text_key(text).alias("own"), text.alias("text"))
-    texts = told.join(candidates, (told["id"].eqNullSafe(candidates["of"])) & (told["own"] == candidates["own"])).groupBy("node").agg(F.first("text").alias("text"))
-    texts = settled(texts)
-    spark = docs.sparkSession
-    edges, tested, used, roots = None, None, None, spark.createDataFrame([], "node long, root long")
-    leaders = 1
-    while True:
-        placed = _rooted(members, roots)
-        sizes = settled(placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")))
-        mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "root"))["root"].alias("main")).where("parts > 1")
-        open_ = placed.join(mixed.select("bucket", "main"), "bucket")
-        members = settled(open_.select("bucket", "node", "root", "main"))
-        free = members.where("root <> main").select("bucket", "node", "root")
-        if used is not None:
-            free = free.join(used, ["bucket", "node"], "left_anti")
-        first = Window.partitionBy("bucket").orderBy("node")
-        chosen = settled(free.withColumn("turn", F.row_number().over(first)).where(F.col("turn") <= leaders).select("bucket", F.col("node").alias("leader"), F.col("root").alias("of")))
-        if chosen.isEmpty():
-            return roots
-        pairs = members.join(chosen, "bucket").where("root <> of").select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = settled(pairs)
-        whole = pairs.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-        found = settled(similar_pairs(whole, similarity).select("a", "b"))
-        members = members.select("bucket", "node")
-        tested = pairs if tested is None else tested.union(pairs)
-        own = chosen.select("bucket", F.col("leader").alias("node"))
-        used = own if used is None else used.union(own)
-        edges = found if edges is None else edges.union(found)
-        roots = settled(components(edges))
-        leaders *= 4
+    found = _looked_up(told, candidates, F.col("id").eqNullSafe(F.col("of")) & (F.col("own") == F.col("its")), "inner")
+    texts = settled(found.groupBy("node").agg(F.first("text").alias("text")))
+
+    def ordered(a: str, b: str) -> list[Column]:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+    leaders = members.groupBy("bucket", F.xxhash64("bucket")).agg(F.min("node").alias("leader")).select("bucket", "leader")
+    star = settled(members.join(leaders, "bucket").where("node <> leader").select(*ordered("node", "leader")).distinct())
+    edges = _tested(star, texts, similarity)
+    placed = settled(_rooted(members, settled(components(edges))).select("bucket", "node", "root"))
+    parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.sum("n").alias("size"), F.count(F.lit(1)).alias("roots"))
+    mixed = settled(mixed.where("roots > 1").select("bucket", "main", "size"))
+    open_ = placed.join(mixed, "bucket")
+    few = open_.where(F.col("size") <= SMALL)
+    outside = few.where("root <> main").select("bucket", F.col("node").alias("other"), F.col("root").alias("its"))
+    pairs = few.join(outside, "bucket").where("root <> its").select(*ordered("node", "other")).distinct()
+    edges = edges.union(_tested(settled(pairs.join(star, ["a", "b"], "left_anti")), texts, similarity))
+
+    many = open_.where(F.col("size") > SMALL).join(texts.select("node", "text"), "node")
+    bytes_ = open_.where(F.col("size") > SMALL).join(texts.select("node", F.octet_length("text").alias("bytes")), "node")
+    bytes_ = bytes_.groupBy("bucket", F.xxhash64("bucket")).agg(F.sum("bytes").alias("bytes"))
+    pieces = settled(mixed.join(bytes_, "bucket").select("bucket", F.ceil(F.greatest(F.col("size") / BLOCK_NODES, F.col("bytes") / BLOCK_BYTES)).alias("pieces")))
+    many = many.join(pieces, "bucket").withColumn("piece", F.pmod(F.xxhash64("node", "bucket"), "pieces"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("pieces") - 1))
+    left = many.where("root <> main").withColumn("right", every).withColumnRenamed("piece", "left").withColumn("side", F.lit(0))
+    right = many.withColumn("left", every).withColumnRenamed("piece", "right").withColumn("side", F.lit(1))
+    columns = ["bucket", "left", "right", "side", "node", "root", "text"]
+    edges = edges.union(settled(block_links(left.select(*columns).union(right.select(*columns)), similarity)))
+    return settled(components(edges))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """(id, own, class_id, class_size, class_id_of, class_own): one row for each document; a class is named after its kept row."""
+    """(id, own, class_id, class_size, class_own): one row for each document; a class is named after its kept row."""
     signed = settled(signed_nodes(docs, id_column, text_column))
     row = F.struct(F.col("id").isNull().alias("void"), F.col("id").alias("id"), F.col("own").alias("own"))
     nodes = signed.groupBy("node", "check").agg(F.min(row).alias("least"), F.first("bands").alias("bands"), F.count(F.lit(1)).alias("copies"))
@@ -274,11 +364,19 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The documents without all but one of each class."""
+    """The documents without all but one of each class.
+
+    Only rows that go, or that are repeated in id and text, have to be looked up.
+    """
     classes = near_duplicates(docs, id_column, text_column, similarity)
-    kept = settled(classes.select(F.col("class_id").alias("id"), F.col("class_own").alias("own")).distinct())
-    own, at = free_name(docs, "kept_own"), free_name(docs, "kept_id")
+    kept = F.col("id").eqNullSafe(F.col("class_id")) & (F.col("own") == F.col("class_own"))
+    marked = classes.groupBy("id", "own").agg(F.bool_or(kept).alias("stays"), F.count(F.lit(1)).alias("rows"))
+    marked = settled(marked.where("not stays or rows > 1").select(F.col("id").alias("of"), F.col("own").alias("its"), "stays"))
+    own, at, its, stays = (free_name(docs, n) for n in ("kept_own", "kept_id", "kept_its", "kept_stays"))
     keyed = docs.withColumn(own, text_key(F.col(f"`{text_column}`")))
-    wanted = kept.toDF(at, f"{own}_of")
-    same = keyed[f"`{id_column}`"].eqNullSafe(wanted[at]) & (keyed[own] == wanted[f"{own}_of"])
-    return keyed.join(wanted, same, "left_semi").dropDuplicates([id_column, own]).drop(own)
+    told = marked.toDF(at, its, stays)
+    found = _looked_up(keyed, told, F.col(f"`{id_column}`").eqNullSafe(F.col(at)) & (F.col(own) == F.col(its)), "left")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    single = found.where(F.col(its).isNull()).select(*columns)
+    repeated = found.where(F.col(stays)).dropDuplicates([id_column, own]).select(*columns)
+    return single.union(repeated)

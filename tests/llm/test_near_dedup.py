@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from loanops.llm import near_dedup
@@ -65,7 +66,12 @@ def test_heavy_and_light_elements_fill_every_coordinate():
     assert (signed[:2] != empty).all() and (signed[2] == empty).all()
 
 
-def test_classes_are_those_of_all_pairs(spark):
+@pytest.mark.parametrize("small,nodes,broadcast", [(8, 256, 10**6), (1, 4, 0)])
+def test_classes_are_those_of_all_pairs(spark, monkeypatch, small, nodes, broadcast):
+    """Also with nearly all buckets dealt into blocks, and with every lookup joined by shuffle."""
+    monkeypatch.setattr(near_dedup, "SMALL", small)
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", nodes)
+    monkeypatch.setattr(near_dedup, "BROADCAST_ROWS", broadcast)
     draw = random.Random(9)
     rows = []
     for group in range(30):
@@ -80,8 +86,10 @@ def test_classes_are_those_of_all_pairs(spark):
     assert got == classes_by_hand(rows)
 
 
-def test_chains_in_one_bucket_are_joined(spark):
+@pytest.mark.parametrize("nodes", [256, 5])
+def test_chains_in_one_bucket_are_joined(spark, monkeypatch, nodes):
     """Neighbours of the chain are similar, its ends are not, and a crowd of copies shares their bands."""
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", nodes)
     words = prose(1, 300, 5000).split()
     chain = [" ".join(f"c{j}" if j < 12 * k else w for j, w in enumerate(words)) for k in range(12)]
     rows = list(enumerate(chain + [chain[3]] * 40))
@@ -89,6 +97,19 @@ def test_chains_in_one_bucket_are_joined(spark):
     assert got == classes_by_hand(rows) == {i: 0 for i, _ in rows}
 
 
+def test_block_similarity_and_forest(monkeypatch):
+    draw = random.Random(5)
+    texts = [prose(k, draw.randint(0, 30), 6) for k in range(12)] + ["a a a a a a a a a", None]
+    monkeypatch.setattr(near_dedup, "COLUMNS", 7)
+    got = near_dedup.block_similarity(pa.array(texts[:8]), pa.array(texts[4:]))
+    for i, a in enumerate(texts[:8]):
+        for j, b in enumerate(texts[4:]):
+            x, y = (shingles(t) if t else collections.Counter() for t in (a, b))
+            shared = sum((x & y).values())
+            assert got[i, j] == pytest.approx(shared / max(1, sum((x | y).values())))
+    assert near_dedup.forest(np.array([1, 1, 2, 3]), np.array([[0, 1], [0, 2], [1, 2], [2, 3], [0, 3]])) == [1, 3]
+
+
 def test_components(spark):
     draw = random.Random(4)
     edges = [(draw.randrange(400), draw.randrange(400)) for _ in range(330)] + [(1000 + i, 1001 + i) for i in range(60)]
