@@ -15,27 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def labelled_sample(labels: DataFrame, id_column: str, label_column: str, keep, per_class: int, seed: int) -> DataFrame:
-    """(id, label, turn): at most ``per_class`` ids of each label for which ``keep(id)`` holds, in seeded order."""
-    one = (
+def labelled_ids(labels: DataFrame, id_column: str, label_column: str, keep) -> DataFrame:
+    """(id, label): each labelled id for which ``keep(id)`` holds."""
+    return (
         labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
         .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & keep(F.col("id")))
         .groupBy("id")
         .agg(F.min("label").alias("label"))
-        .withColumn("turn", F.xxhash64(F.lit(seed), "id"))
     )
+
+
+def labelled_sample(labels: DataFrame, id_column: str, label_column: str, keep, per_class: int, seed: int) -> DataFrame:
+    """(id, label, turn): at most ``per_class`` ids of each label for which ``keep(id)`` holds, in seeded order."""
+    one = labelled_ids(labels, id_column, label_column, keep).withColumn("turn", F.xxhash64(F.lit(seed), "id"))
     chosen = [one.where(F.col("label") == k).orderBy("turn", "id").limit(per_class) for k in (0, 1)]
     return chosen[0].union(chosen[1])
 
 
 def label_shares(labels: DataFrame, id_column: str, label_column: str, keep) -> dict[int, int]:
     """How many ids have each label, over all labelled ids for which ``keep(id)`` holds."""
-    one = (
-        labels.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{label_column}`").cast("int").alias("label"))
-        .where(F.col("id").isNotNull() & F.col("label").isin(0, 1) & keep(F.col("id")))
-        .groupBy("id")
-        .agg(F.min("label").alias("label"))
-    )
+    one = labelled_ids(labels, id_column, label_column, keep)
     return {row["label"]: row["n"] for row in one.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
 
 

@@ -4,11 +4,13 @@ A word's embedding is the sum of the table rows of its hash and of the hashes of
 in A-Z and end at ASCII punctuation). Filters of widths 1, 2 and 3 slide over the words of the whole text; each
 filter's largest rectified value goes to a logistic output. Training takes a bounded sample (``per_class`` documents of
 each label, without those of over ``MOST_WORDS`` words), and the bias is moved from the sample's share of labels to the share over all labels that may be
-learned from. A fifth of the sample is kept out of the fit to choose, for each language, the threshold with the best F1;
-language is only used there, never for a score.
+learned from. A fifth of those labels (by hash) never enters the sample. Each language's threshold has the best F1 over all
+documents that may be learned from and are not in the sample, scored in a pass of their own and counted by language, label and score; documents of a
+label weigh as many as the label has in that language, those of the sample included. Language is only used there, never for a score.
 
 Defined cases: a null, empty or wordless text has no positive filter value and scores by the bias alone. Without labels of both
-kinds every score is the share of label 1. A language without calibration documents of both kinds has threshold 0.5.
+kinds every score is the share of label 1. A language without documents of both kinds outside the sample has threshold 0.5; if the other four
+fifths lack a label, the sample is drawn from all.
 Repeated rows are scored each; other columns are not read.
 """
 
@@ -22,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .quality_classifier import TOKEN_BYTES
-from .samples import label_shares, labelled_sample, sampled_texts, trained
+from .samples import label_shares, labelled_ids, labelled_sample, sampled_texts, trained
 from .textkit import ASCII_LOWER, Texts, arrow_sized, chunks_of, span_hashes, spans
 
 BITS = 17
@@ -36,6 +38,8 @@ EPOCHS = 12
 BATCH = 8
 RATE = 0.1
 PRIOR_HITS = 20
+HELD = 5  # one part of so many never enters the sample
+STEPS = 256  # of a score's logit are counted as one
 
 PLAIN_WORDS = np.where(TOKEN_BYTES == 1, 1, 0).astype(np.uint8)
 PAD = max(WIDTHS) - 1
@@ -144,38 +148,62 @@ def train_cnn(examples: list[np.ndarray], labels: np.ndarray, bits: int = BITS,
     return {"table": table, **{f"filters{w}": f for w, f in zip(WIDTHS, filters, strict=True)}, "biases": biases, "output": output, "bias": bias}
 
 
-def best_threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold of largest F1 (midway between neighbours; of equal ones the one nearest 0.5), drawn towards 0.5 as if by ``PRIOR_HITS`` toxic texts."""
+def best_threshold(scores: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, toxic: float | None = None) -> float:
+    """The threshold of largest F1 (midway between neighbours; of equal ones the one nearest 0.5), drawn towards 0.5 as if by ``PRIOR_HITS`` toxic texts.
+
+    A score counts ``weights`` times; ``toxic`` is how many toxic texts were seen, if not the sum of their weights.
+    """
     if not labels.any() or labels.all():
         return 0.5
     order = np.argsort(-scores, kind="stable")
-    ranked, hits = scores[order], np.cumsum(labels[order])
-    f1 = 2 * hits / (np.arange(1, len(ranked) + 1) + labels.sum())
+    weights = np.ones(len(scores)) if weights is None else weights
+    ranked, hits = scores[order], np.cumsum((weights * labels)[order])
+    f1 = 2 * hits / (np.cumsum(weights[order]) + hits[-1])
     edges = np.append((ranked[:-1] + ranked[1:]) / 2, ranked[-1])
     f1[:-1][ranked[:-1] == ranked[1:]] = -1
     top = np.flatnonzero(f1 >= f1.max() - 1e-12)
-    hits = float(labels.sum())
+    hits = float(hits[-1] if toxic is None else toxic)
     return float((hits * edges[top[np.argmin(np.abs(edges[top] - 0.5))]] + PRIOR_HITS * 0.5) / (hits + PRIOR_HITS))
 
 
+def _threshold(counts: pa.Table) -> pa.Table:
+    """The threshold of one language from its (language, label, step, outside, every) counts."""
+    labels, outside, every = (counts[k].to_numpy().astype(np.float64) for k in ("label", "outside", "every"))
+    scores = 1 / (1 + np.exp(-(counts["step"].to_numpy() + 0.5) / STEPS))
+    weights, seen = np.zeros(len(labels)), outside > 0
+    for label in (0, 1):
+        own = labels == label
+        weights[own] = outside[own] * (every[own].sum() / max(outside[own].sum(), 1))
+    limit = best_threshold(scores[seen], labels[seen], weights[seen], (outside * labels).sum())
+    return pa.table({"language": counts["language"][:1], "threshold": pa.array([limit])})
+
+
+def calibrated(scored: DataFrame, marks: DataFrame) -> dict[str, np.ndarray]:
+    """Thresholds of the languages: ``scored`` (id, language, score), ``marks`` (id, label, fitted)."""
+    step = F.floor(F.log(F.col("score") / (1 - F.col("score"))) * STEPS)
+    counts = (
+        scored.select("id", F.coalesce("language", F.lit("")).alias("language"), step.alias("step"))
+        .join(marks, "id")
+        .groupBy("language", "label", "step")
+        .agg(F.sum((~F.col("fitted")).cast("long")).alias("outside"), F.count(F.lit(1)).alias("every"))
+    )
+    rows = counts.groupBy("language").applyInArrow(_threshold, "language string, threshold double").orderBy("language").collect()
+    return {
+        "languages": np.array([r["language"].encode() for r in rows], dtype=object),
+        "thresholds": np.array([r["threshold"] for r in rows], np.float64),
+    }
+
+
 def _fit(shift: float):
     def fit(table: pa.Table) -> dict[str, np.ndarray]:
         table = table.take(pa.array(np.lexsort([table["id"].to_numpy(), table["turn"].to_numpy()])))
-        labels, languages, examples = table["label"].to_numpy(), table["language"].to_pylist(), []
+        labels, examples = table["label"].to_numpy(), []
         for texts in chunks_of(table["text"]):
             rows, counts = word_rows(texts)
             examples += np.split(rows, np.cumsum(counts)[:-1])
-        held = np.arange(len(examples)) % 5 == 4
-        fits = [i for i in np.flatnonzero(~held) if len(examples[i]) <= MOST_WORDS]
+        fits = [i for i in range(len(examples)) if len(examples[i]) <= MOST_WORDS]
         model = train_cnn([examples[i] for i in fits], labels[fits])
         model["bias"] = model["bias"] + np.float32(shift)
-        own = table.filter(pa.array(held))
-        logits = [scores_of(model, texts) for texts in chunks_of(own["text"])]
-        scores = 1 / (1 + np.exp(-np.clip(np.concatenate(logits), -30, 30))) if logits else np.zeros(0)
-        named = np.array([languages[i] or "" for i in np.flatnonzero(held)], dtype=object)
-        known = sorted(set(named))
-        model["thresholds"] = np.array([best_threshold(scores[named == k], labels[held][named == k]) for k in known])
-        model["languages"] = np.array([k.encode() for k in known], dtype="S16") if known else np.zeros(0, "S16")
         return model
 
     return fit
@@ -188,10 +216,20 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, keep, id_column="doc_id",
     zeros, ones = shares.get(0, 0), shares.get(1, 0)
     if not zeros or not ones:
         return (ones + 0.5) / (zeros + ones + 1)
-    shift = math.log(ones / zeros) - math.log(min(ones, per_class) / min(zeros, per_class))
-    sample = labelled_sample(labels, id_column, label_column, keep, per_class, seed)
-    own = docs.withColumn("language", F.col(f"`{language_column}`").cast("string"))
-    return trained(sampled_texts(own, id_column, text_column, sample, "language"), _fit(shift))
+
+    def fits(i):
+        return keep(i) & (F.pmod(F.xxhash64(F.lit(seed + 1), i), F.lit(HELD)) != HELD - 1)
+
+    part = label_shares(labels, id_column, label_column, fits)
+    if len(part) < 2:
+        fits, part = keep, shares
+    shift = math.log(ones / zeros) - math.log(min(part[1], per_class) / min(part[0], per_class))
+    sample = labelled_sample(labels, id_column, label_column, fits, per_class, seed)
+    model = trained(sampled_texts(docs, id_column, text_column, sample), _fit(shift))
+    fitted = F.broadcast(sample.select("id", F.lit(True).alias("fitted")))
+    marks = labelled_ids(labels, id_column, label_column, keep).join(fitted, "id", "left").withColumn("fitted", F.coalesce("fitted", F.lit(False)))
+    own = docs.where(F.col(f"`{id_column}`").isNotNull() & keep(F.col(f"`{id_column}`")))
+    return model | calibrated(score_toxicity(own, model, id_column, text_column, language_column), marks)
 
 
 def score_toxicity(docs: DataFrame, model, id_column="doc_id", text_column="text", language_column="lang") -> DataFrame:
@@ -206,7 +244,7 @@ def score_toxicity(docs: DataFrame, model, id_column="doc_id", text_column="text
 
     def run(batches):
         model = sent.value
-        levels = {k.decode(): float(v) for k, v in zip(model["languages"], model["thresholds"], strict=True)}
+        levels = {k.decode(): float(v) for k, v in zip(model.get("languages", ()), model.get("thresholds", ()), strict=True)}
         for batch in batches:
             logits = [scores_of(model, texts) for texts in chunks_of(batch.column(2))]
             scores = 1 / (1 + np.exp(-np.clip(np.concatenate(logits).astype(np.float64), -30, 30))) if logits else np.zeros(0)

@@ -97,6 +97,26 @@ def test_threshold_is_the_best_f1_drawn_to_the_middle():
     assert 0.45 < toxicity.best_threshold(scores, labels) < 0.55
 
 
+def test_thresholds_count_all_labels_outside_the_fit(spark):
+    # a strong word in half of the toxic texts only; a weak one in the others and in 30 % of the nine times as many clean texts
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 10 == 0
+        word = ("stupidox" if i % 20 == 0 else "vilerak") if toxic else "vilerak" if i % 10 < 4 else "calm"
+        rows.append((i, f"{prose(i, 8)} {word}", "en", "s"))
+        labels.append((i, 1, int(toxic)))
+    docs, marks = documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    model = toxicity.train_toxicity(docs, marks, ALL, per_class=200)
+    scored = toxicity.score_toxicity(docs, model).join(marks, F.col("id") == F.col("doc_id")).collect()
+    hits = sum(r["flagged"] and r["toxic"] == 1 for r in scored)
+    false = sum(r["flagged"] and r["toxic"] == 0 for r in scored)
+    # flagging the weak word too: F1 0.42 over all, but 0.87 where the clean texts are thinned to the toxic ones' number
+    assert 2 * hits / (hits + false + 300) > 0.6
+    # thinned labels of one step count by their language's totals
+    counts = pa.table({"language": ["en"] * 3, "label": [1, 1, 0], "step": [500, -200, -200], "outside": [10, 10, 20], "every": [100, 100, 2000]})
+    assert toxicity._threshold(counts)["threshold"][0].as_py() > 0.5
+
+
 def test_toxicity_defined_cases(spark, tricky, nothing):
     marks = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (8, 1, 0), (9, 1, 1)], "doc_id long, quality int, toxic int")
     model = toxicity.train_toxicity(tricky, marks, ALL)
