@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import collections
 import random
 import re
@@ -55,6 +56,24 @@ def test_bands():
     assert quality_rules.compression(b"", press) == (None, None, False)
 
 
+def test_encoded_and_random_text_at_every_band():
+    press = zstandard.ZstdCompressor(level=quality_rules.LEVEL)
+    draw = random.Random(7)
+    starts = [b.from_bytes for b in quality_rules.BANDS]
+    sizes = sorted({*starts, *(s - 1 for s in starts[1:]), 4096, 6000, 40_000})
+    for size in sizes:
+        code = base64.b64encode(draw.randbytes(size)).decode()
+        lines = "\n".join(code[i : i + 76] for i in range(0, len(code), 76))
+        noise = "".join(chr(draw.randrange(32, 127)) for _ in range(size))
+        for text in (lines, noise):
+            assert not quality_rules.compression(text[:size].encode(), press)[2], size
+    # under half of the chunk bytes are encoded
+    syllables = [a + b for a in "bdfgklmnprst" for b in ("a", "e", "i", "o", "u", "an", "er", "ing")]
+    plain = " ".join("".join(draw.choices(syllables, k=draw.randint(1, 4))) for _ in range(4000)).encode()
+    assert quality_rules.compression(plain[:16_384], press)[2]
+    assert not quality_rules.compression(plain[:16_384] + lines[:8192].encode(), press)[2]
+
+
 def test_defined_cases(spark, tricky, nothing):
     rows = quality_rules.judge_quality(tricky).collect()
     assert len(rows) == tricky.count()
