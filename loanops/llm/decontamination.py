@@ -14,8 +14,10 @@ Test items are indexed in portions of at most about ``PORTION_ITEMS`` items and
 size); a portion's index is built on the driver and broadcast, and each portion is one pass over the documents, so
 memory is bounded whatever the size of the benchmark.
 
-Defined cases: null, empty or wordless documents have no passage and are kept. Items of fewer than ``LEAST_WORDS`` words (null ones too) are not searched for, because prose
-holds such sequences by chance. Items with equal texts are each found. Repeated documents are judged each; an empty benchmark or
+* Short items, of fewer than ``LEAST_WORDS`` words, are found by their whole word sequence only (score and overlaps 1), because prose holds their words by
+  chance; an item of one word is in every document with that word. In scripts without spaces every character is a word.
+
+Defined cases: null, empty or wordless documents have no passage and are kept; items without words are not searched for. Items with equal texts are each found. Repeated documents are judged each; an empty benchmark or
 corpus has no hits. Other columns pass through.
 """
 
@@ -43,6 +45,7 @@ PORTION_BYTES = 8 << 20
 TRIPLE = 3
 MARK_BITS = 20
 MOST_DENSE = 1 << 22
+UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}\x{3000}-\x{303F}\x{FF01}-\x{FF20}])"
 
 
 class Index(NamedTuple):
@@ -62,6 +65,8 @@ class Index(NamedTuple):
     impact: np.ndarray
     question: list[np.ndarray]  # triples of each item
     answer: list[np.ndarray]
+    short: dict[int, tuple[np.ndarray, np.ndarray]]  # by words: sorted hashes of the sequences, and which of short_ids
+    short_ids: list
 
 
 def item_words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -70,8 +75,12 @@ def item_words(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
 
 
 def lowered(column: pa.Array):
-    """Chunks of the texts in lower case."""
-    return chunks_of(pc.utf8_lower(column.cast(pa.large_string())))
+    """Chunks of the texts in lower case, characters of scripts without spaces apart."""
+    return chunks_of(_apart(pc.utf8_lower(column.cast(pa.large_string()))))
+
+
+def _apart(column: pa.Array) -> pa.Array:
+    return pc.replace_substring_regex(column, UNSPACED, r" \1 ")
 
 
 def _hashes(texts: list[str]) -> list[np.ndarray]:
@@ -84,7 +93,7 @@ def _hashes(texts: list[str]) -> list[np.ndarray]:
 
 def split_item(text: str) -> tuple[str, str]:
     """(question, answer): the last sentence is the answer, or the last quarter of the words of a single sentence."""
-    cuts = [m.end() for m in re.finditer(r"[.?!:](?=\s)|\n", text) if re.search(r"\w", text[m.end() :])]
+    cuts = [m.end() for m in re.finditer(r"[.?!:。？！](?=\s)|\n", text) if re.search(r"\w", text[m.end() :])]
     for cut in reversed(cuts):
         if len(re.findall(r"\w+", text[cut:])) >= TRIPLE and len(re.findall(r"\w+", text[:cut])) >= TRIPLE:
             return text[:cut], text[cut:]
@@ -97,12 +106,26 @@ def _triples(words: np.ndarray) -> np.ndarray:
     return np.unique(grams(words, np.array([len(words)]), TRIPLE)[0])
 
 
+def _short_items(hashed: list[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    out = {}
+    for size in sorted({len(h) for h in hashed}):
+        own = np.array([i for i, h in enumerate(hashed) if len(h) == size])
+        keys = np.concatenate([grams(hashed[i], np.array([size]), size)[0] for i in own])
+        order = np.argsort(keys, kind="stable")
+        out[size] = keys[order], own[order]
+    return out
+
+
 def build_index(items: list[tuple]) -> Index | None:
-    """Index of (id, text) items; None if no item is long enough."""
+    """Index of (id, text) items; None if no item has a word."""
     hashed = _hashes([t or "" for _, t in items])
     keep = [i for i, h in enumerate(hashed) if len(h) >= LEAST_WORDS]
+    brief = [i for i, h in enumerate(hashed) if 0 < len(h) < LEAST_WORDS]
+    short, short_ids = _short_items([hashed[i] for i in brief]), [items[i][0] for i in brief]
     if not keep:
-        return None
+        none, marks = np.zeros(0, np.int64), np.zeros(1 << MARK_BITS, bool)
+        words, bound, first = np.zeros(0, np.uint64), np.zeros(0), np.zeros(1, np.int64)
+        return Index([], max(short), words, none, marks, bound, first, none, none, bound, none, bound, [], [], short, short_ids) if short else None
     hashed = [hashed[i] for i in keep]
     lengths = np.array([len(h) for h in hashed])
     words, where = np.unique(np.concatenate(hashed), return_inverse=True)
@@ -127,7 +150,7 @@ def build_index(items: list[tuple]) -> Index | None:
     np.maximum.at(block_max, inverse, impact)
     mark = np.zeros(1 << MARK_BITS, bool)
     mark[words >> np.uint64(64 - MARK_BITS)] = True
-    split = [split_item(items[i][1]) for i in keep]
+    split = [split_item(t) for t in _apart(pa.array([items[i][1] for i in keep], pa.large_string())).to_pylist()]
     first_block = np.searchsorted(block_keys, np.arange(len(words) + 1) * n_blocks)
     blocks = block_keys % n_blocks
     block_keys, block_max = _table(block_keys, block_max, len(words) * n_blocks)
@@ -147,6 +170,8 @@ def build_index(items: list[tuple]) -> Index | None:
         impact=impact,
         question=[_triples(h) for h in _hashes([q for q, _ in split])],
         answer=[_triples(h) for h in _hashes([a for _, a in split])],
+        short=short,
+        short_ids=short_ids,
     )
 
 
@@ -206,6 +231,25 @@ def search(index: Index, window: np.ndarray, word: np.ndarray, threshold: float
     return window[new][own[hit]], item[hit], score[hit]
 
 
+def _short_hits(index: Index, hashes: np.ndarray, counts: np.ndarray) -> list[tuple[int, int, int, float, float, float]]:
+    """As ``contaminated``, of the short items, which are numbered behind the others."""
+    out = []
+    for size, (keys, items) in index.short.items():
+        whole = np.where(counts >= size, counts - size + 1, 0)
+        own, numbers = grams(hashes, counts, size)
+        own = own[np.repeat(counts >= size, numbers)]
+        first = np.searchsorted(keys, own)
+        times = np.searchsorted(keys, own, "right") - first
+        at = np.flatnonzero(times)
+        row, place = _spread(first[at], times[at])
+        text, word = np.repeat(np.arange(len(counts)), whole)[at], (np.arange(len(own)) - np.repeat(np.cumsum(whole) - whole, whole))[at]
+        item = items[place]
+        _, once = np.unique(text[row] * len(index.short_ids) + item, return_index=True)
+        start = word // index.segment * index.segment
+        out += [(int(text[row[k]]), len(index.ids) + int(item[k]), int(start[row[k]]), 1.0, 1.0, 1.0) for k in once]
+    return out
+
+
 def contaminated(index: Index, texts: Texts) -> list[tuple[int, int, int, float, float, float]]:
     """(text, item, first word of the passage, score, question overlap, answer overlap): the best passage for each text and item."""
     hashes, counts = item_words(texts)
@@ -237,7 +281,7 @@ def contaminated(index: Index, texts: Texts) -> list[tuple[int, int, int, float,
     for hit in found:
         if hit[:2] not in best or (hit[4] + hit[5], hit[3]) > (best[hit[:2]][4] + best[hit[:2]][5], best[hit[:2]][3]):
             best[hit[:2]] = hit
-    return [best[k] for k in sorted(best)]
+    return sorted([*best.values(), *_short_hits(index, hashes, counts)])
 
 
 def indexes(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text"):
@@ -266,12 +310,13 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_
 
         def run(batches, sent=sent):
             index = sent.value
+            named = index.ids + index.short_ids
             for batch in batches:
                 hits = [(texts.first + h[0], *h[1:]) for texts in lowered(batch.column(1)) for h in contaminated(index, texts)]
                 if hits:
                     at, item, *rest = zip(*hits, strict=True)
                     ids = batch.column(0).take(pa.array(at))
-                    items = pa.array([index.ids[i] for i in item])
+                    items = pa.array([named[i] for i in item])
                     yield pa.RecordBatch.from_arrays(
                         [ids, items, *(pa.array(v) for v in rest)],
                         ["id", "item", "passage_start", "score", "question_overlap", "answer_overlap"],

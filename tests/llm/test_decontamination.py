@@ -77,6 +77,29 @@ def test_hits(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == [*range(20, 30), *range(100, 160)]
 
 
+def test_short_items_and_scripts_without_spaces(spark):
+    poem, town = "谁写了红楼梦？曹雪芹。", "曹雪芹写的红楼梦是中国古典小说中最著名的一部作品。"
+    bench = [(1, "Who wrote Hamlet? William Shakespeare"), (2, "7 + 5 = 12"), (3, "Who wrote Hamlet? William Shakespeare"), (4, poem), (5, town), (6, "?!")]
+    held = {
+        1: (f"{prose(1, 40)} who wrote HAMLET?\nWilliam Shakespeare. {prose(2, 300)}", [1, 3]),
+        2: (f"{prose(3, 500)}\n7 + 5 = 12", [2]),
+        3: (f"William Shakespeare wrote it. Who wrote Hamlet? {prose(4, 40)} 5 + 7 = 12", []),
+        4: (f"他们问{poem}然后走了", [4]),
+        5: (f"这是开始{town}这是结束", [5]),
+        6: ("曹雪芹写了谁", []),
+        7: ("7 5", []),
+        8: ("7 + 5 = 12", [2]),
+    }
+    docs = documents(spark, [(i, t, "en", "s") for i, (t, _) in held.items()])
+    for own in (bench, [b for b in bench if b[0] != 5]):  # without a long item too
+        benchmark = spark.createDataFrame(own, "item_id long, text string")
+        want = sorted((i, k) for i, (_, found) in held.items() for k in found if k in dict(own))
+        hits = decontamination.benchmark_hits(docs, benchmark).collect()
+        assert sorted((r["id"], r["item"]) for r in hits) == want
+        kept = decontamination.drop_contaminated(docs, benchmark).collect()
+        assert {r["doc_id"] for r in kept} == set(held) - {i for i, _ in want}
+
+
 def test_portions_find_the_same(spark, monkeypatch):
     bench = items(50)
     benchmark = spark.createDataFrame(bench, "item_id long, text string")
