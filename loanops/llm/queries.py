@@ -9,7 +9,19 @@ from pyspark.sql import functions as F
 
 from loanops.session import tune
 
-from . import decontamination, language_id, lm_scoring, mixing, near_dedup, quality_classifier, quality_rules, sharding, toxicity, url_filter
+from . import (
+    decontamination,
+    language_id,
+    lm_scoring,
+    mixing,
+    near_dedup,
+    periodic_runs,
+    quality_classifier,
+    quality_rules,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from .oracles import MIXING, URL_FILTER
 from .textkit import fold, settled
 from .url_filter import Rule
@@ -132,3 +144,39 @@ def _(read):
         "threshold",
         "flagged",
     )
+
+
+def planted_periods(doc_id, text):
+    """The contract's input: of some documents, chosen by id, the words from the a-th on repeat the first p of them.
+
+    A document without an id is left as it is.
+    """
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n, crc = F.size(words), F.crc32(doc_id.cast("string"))
+    seed = F.floor(crc / 10)
+    first = F.pmod(seed, n)
+    period = 1 + F.floor((n - first) / (3 + seed % 8))
+    place = lambda i: F.when(i < first, i).otherwise(first + (i - first) % period)
+    repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int")))
+    return F.when((crc % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(repeated, " ")).otherwise(text)
+
+
+@query("op13_periodic_runs")
+def _(read):
+    docs = read("documents").select("doc_id", planted_periods(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(docs)
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    # Runs are sorted by start and period, so a later one has to be better.
+    better = lambda best, run: best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"])
+    best = F.aggregate("runs", none, lambda best, run: F.when(better(best, run), run).otherwise(best))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select("id", "n_words", "collapsed", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("lines")).select(
+        F.col("id").alias("doc_id"),
+        "n_runs",
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
