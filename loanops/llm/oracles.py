@@ -69,3 +69,33 @@ cut as (
 taken as (select doc_id, sum(words * times) as taken from cut group by doc_id)
 select doc_id, size, source_size, target, coalesce(taken, 0)::bigint as taken, source from streamed left join taken using (doc_id)
 """
+
+# ---- op12: every phrase of every piece, counted one by one
+
+COLLOCATIONS = rf"""
+with pieces as (
+  select coalesce(lang, 'und') as lang,
+    unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\n\x0B\f\r]')) as piece from documents),
+words as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+grams as (
+  select lang, 1 as k, unnest(w) as phrase from words
+  union all select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words
+  union all select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from words),
+counted as (select lang, k, phrase, count(*) as c from grams group by all),
+candidates as (select *, string_split(phrase, ' ') as w from counted where k > 1 and c >= 10),
+cuts as (
+  select *, 1 as j, w[1] as first, array_to_string(w[2 : k], ' ') as rest from candidates
+  union all select *, 2, array_to_string(w[1 : 2], ' '), w[3] from candidates where k = 3),
+scored as (
+  select x.*, f.c as l, t.c as r, (1000000::hugeint * x.c * x.c) // (f.c::hugeint * t.c) as score
+  from cuts x join counted f on f.lang = x.lang and f.phrase = first join counted t on t.lang = x.lang and t.phrase = rest),
+lowest as (select * from scored qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select lang, unnest([array_to_string(w[1 : 2], ' '), array_to_string(w[2 : 3], ' ')]) as part, c as longer from candidates where k = 3),
+kept as (
+  select * from lowest x where not exists (
+    select 1 from inside i where i.lang = x.lang and i.part = x.phrase and x.k = 2 and 100 * i.longer >= 50 * x.c)),
+ranked as (select *, row_number() over (partition by lang order by score desc, c desc, phrase) as rank from kept qualify rank <= 2000),
+totals as (select lang, sum(c) as n from counted where k = 1 group by lang)
+select lang, rank, phrase, c as a, l, r, n::bigint as n, score::bigint as score from ranked join totals using (lang)
+"""

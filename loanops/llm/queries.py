@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loanops.session import tune
 
 from . import (
+    collocations,
     decontamination,
     language_id,
     lm_scoring,
@@ -22,7 +23,7 @@ from . import (
     toxicity,
     url_filter,
 )
-from .oracles import MIXING, URL_FILTER
+from .oracles import COLLOCATIONS, MIXING, URL_FILTER
 from .textkit import fold, settled
 from .url_filter import Rule
 
@@ -146,6 +147,11 @@ def _(read):
     )
 
 
+@query("op12_collocations", COLLOCATIONS)
+def _(read):
+    return collocations.mine_collocations(read("documents"))
+
+
 def planted_periods(doc_id, text):
     """The contract's input: of some documents, chosen by id, the words from the a-th on repeat the first p of them.
 
