@@ -162,8 +162,9 @@ def planted_periods(doc_id, text):
     seed = F.floor(crc / 10)
     first = F.pmod(seed, n)
     period = 1 + F.floor((n - first) / (3 + seed % 8))
-    place = lambda i: F.when(i < first, i).otherwise(first + (i - first) % period)
-    repeated = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i).cast("int")))
+    block = F.slice(words, first + 1, period)
+    repeats = F.flatten(F.array_repeat(block, F.ceil((n - first) / period).cast("int")))
+    repeated = F.concat(F.slice(words, F.lit(1), first), F.slice(repeats, F.lit(1), n - first))
     return F.when((crc % 10 == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.array_join(repeated, " ")).otherwise(text)
 
 
