@@ -99,3 +99,35 @@ ranked as (select *, row_number() over (partition by lang order by score desc, c
 totals as (select lang, sum(c) as n from counted where k = 1 group by lang)
 select lang, rank, phrase, c as a, l, r, n::bigint as n, score::bigint as score from ranked join totals using (lang)
 """
+
+# ---- op11: running sums over whole conversations, windows one after the other by recursion
+
+CHAT_WINDOWS = r"""
+with recursive given as (
+  select conv_id, turn, role, coalesce(text, '') as text from conversations
+  union all select -7, t, case t when 0 then 'user' else 'assistant' end, '</s>[INST] ok [/INST]' from range(2) r(t)),
+written as (
+  select *, '<s>' || coalesce(role, '?') || chr(10)
+    || regexp_replace(text, '(<|\[)(\\*)(s>|/s>|<SYS>>|</SYS>>|INST\]|/INST\])', '\1\2\\\3', 'g') || '</s>' || chr(10) as piece from given),
+lined as (
+  select *, ceil(strlen(piece) / 4)::bigint as cost, length(piece) as chars,
+    coalesce(sum(ceil(strlen(piece) / 4)::bigint) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding), 0)::bigint as start
+  from written),
+turns as (select *, start // 65536 as block, role = 'system' and start = 0 as first from lined),
+rooms as (select conv_id, greatest(2048 - 256 - coalesce(sum(cost) filter (first), 0), 512) as room from turns group by conv_id),
+windows as (
+  select conv_id, block, min(start) as opened from turns group by conv_id, block
+  union all
+  select w.conv_id, w.block, min(t.start) from windows w join turns t on t.conv_id is not distinct from w.conv_id and t.block = w.block
+    join rooms r on r.conv_id is not distinct from w.conv_id
+  where t.start > w.opened and t.start + t.cost - w.opened > r.room group by w.conv_id, w.block),
+repeated as (
+  select w.conv_id, sum(t.chars) as chars from windows w join turns t on t.conv_id is not distinct from w.conv_id
+  where t.start < w.opened and (t.first or t.start >= w.opened - 256) group by w.conv_id)
+select t.conv_id, count(*) as n_turns,
+  sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' order by turn)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn) filter (role = 'assistant'), '')) as loss_sha256,
+  (sum(t.chars) + coalesce(any_value(r.chars), 0))::bigint as formatted_chars
+from turns t left join repeated r on r.conv_id is not distinct from t.conv_id group by t.conv_id
+"""
