@@ -12,11 +12,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is hot if it holds more than one part in so many of its side's rows. No more than so many keys can, so the list
-# of hot keys is bounded by arithmetic, and each cell of a hot key gets about one such part.
+# A key is hot if it holds more than one part in so many of its side's rows. By arithmetic no more than so many keys can, so the list
+# of hot keys is bounded (twice that for estimated counts), and each cell of a hot key gets about one such part.
 HOT_PARTS = 1000
 # Column with the number of rows, in tables that stand for the keys of a larger one.
 ROWS = "__n"
@@ -62,49 +63,41 @@ def spread_join(
     """Equi-join (inner, left or full) in which no single task gets all rows of a hot key.
 
     Each hot key becomes a grid of cells: a left row goes to one grid row and is copied along it, a right
-    row goes to one grid column and is copied along it, so every pair still meets exactly once. A copy that
-    meets nobody in its cell is dropped where the key is known to be on both sides. The list of hot keys is
-    the only broadcast: at most ``hot_parts`` keys for each counted side. The copies are few against the pairs that a key
-    with many rows on both sides gives. Column names of the two sides must differ.
-
-    ``hot`` names the sides that may have many rows per key; only those are counted, in one pre-aggregated
-    pass. ``left_keys`` / ``right_keys``: a cheaper table with the same keys to count instead, by rows or by its
-    ``ROWS`` column if it has one. Its counts may be too high; which keys it has must be exact for a full join.
+    row goes to one grid column and is copied along it, so every pair still meets exactly once. A row is copied only for a
+    key that is hot, and so present, on the other side; a copy that meets nobody in its cell is dropped, because another one did.
+    The list of hot keys is the only broadcast: at most ``2 * hot_parts`` keys for each side. Column names of the two sides must differ.
+
+    Hot keys come from a heavy-hitter sketch: one pass over the keys of a side without any exchange of them. The sketch is evaluated once
+    and both sides read its one result, so it does not matter that its counts are estimates.
+
+    ``hot`` names the sides that may have many rows per key; only those are sketched. ``left_keys`` / ``right_keys``: a cheaper
+    table to sketch instead. All its keys must be keys of the side. With a ``ROWS`` column it has one row per key, with
+    its number of rows, and no sketch is needed.
     """
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     if how not in ("inner", "left", "full") or hot not in ("left", "right", "both"):
         raise ValueError((how, hot))
-    names = [f"__k{i}" for i in range(len(left_on))]
-    counted = []
+    as_text = len(left_on) > 1 or not all(_sketched(f.schema[on[0]].dataType) for f, on in ((left, left_on), (right, right_on)))
+    if as_text and [left.schema[c].dataType for c in left_on] != [right.schema[c].dataType for c in right_on]:
+        raise ValueError("keys of this kind need the same types on both sides")
+    found = {}
     if hot != "right":
-        counted.append(_key_rows(left if left_keys is None else left_keys, left_on, names, 1, 0))
+        found["__rows"] = _hot_keys(left if left_keys is None else left_keys, left_on, as_text, hot_parts)
     if hot != "left":
-        counted.append(_key_rows(right if right_keys is None else right_keys, right_on, names, 0, 1))
-    sizes = reduce(DataFrame.unionAll, counted).groupBy(*names).agg(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))
-    met = (F.col("__l") > 0) & (F.col("__r") > 0) if hot == "both" else F.lit(True)
-    totals = sizes.agg(F.struct(F.sum("__l").alias("__l"), F.sum("__r").alias("__r"))).scalar()
-    is_hot = reduce(lambda a, b: a | b, [F.col(n) * hot_parts > totals[n] for n in ("__l", "__r")])
-    marks = sizes.filter(is_hot & _all_present(names)).select(
-        *names, *[_cells(n, totals[n], hot_parts).alias(out) for n, out in (("__l", "__rows"), ("__r", "__cols"))], met.alias("__met")
-    )
-    placed_left = _place(left, left_on, marks, names, own="__rows", other="__cols", copies=hot != "left", tag="l")
-    placed_right = _place(right, right_on, marks, names, own="__cols", other="__rows", copies=hot != "right", tag="r")
+        found["__cols"] = _hot_keys(right if right_keys is None else right_keys, right_on, as_text, hot_parts)
+    marks = _marks(left.sparkSession, found)
+    placed_left = _place(left, left_on, as_text, marks, own="__rows", other="__cols", copies=hot != "left", tag="l")
+    placed_right = _place(right, right_on, as_text, marks, own="__cols", other="__rows", copies=hot != "right", tag="r")
     condition = (F.col("__l_own") == F.col("__r_other")) & (F.col("__l_other") == F.col("__r_own"))
     for a, b in zip(left_on, right_on):
         condition = condition & (placed_left[f"`{a}`"] == placed_right[f"`{b}`"])
     joined = placed_left.join(placed_right, condition, how)
-    if how != "inner":
-        lonely_left = F.col("__r_here").isNull() & F.coalesce("__l_met", F.lit(False))
-        lonely_right = F.col("__l_here").isNull() & F.coalesce("__r_met", F.lit(False))
-        # Only copied rows may be dropped: the copies of one row that met somebody stand for it.
-        if hot == "left":
-            joined = joined.filter(~lonely_right)
-        elif hot == "right":
-            joined = joined.filter(~lonely_left)
-        else:
-            joined = joined.filter(~(lonely_left | lonely_right))
+    if how != "inner" and hot != "left":
+        joined = joined.filter(~(F.col("__r_copied").isNull() & F.coalesce("__l_copied", F.lit(False))))
+    if how == "full" and hot != "right":
+        joined = joined.filter(~(F.col("__l_copied").isNull() & F.coalesce("__r_copied", F.lit(False))))
     return joined.select(*_named(left.columns), *_named(right.columns))
 
 
@@ -138,23 +131,60 @@ def full_coalesce(left: DataFrame, right: DataFrame, on: Sequence[str], merged:
     )
 
 
-def _key_rows(frame: DataFrame, on: Sequence[str], names: Sequence[str], left: int, right: int) -> DataFrame:
-    rows = F.col(ROWS) if ROWS in frame.columns else F.lit(1)
-    return frame.select(
-        *[F.col(f"`{c}`").alias(n) for c, n in zip(on, names)],
-        (rows * left).cast("long").alias("__l"),
-        (rows * right).cast("long").alias("__r"),
-    )
+def _sketched(kind: T.DataType) -> bool:
+    """Types that the sketch can hold."""
+    return isinstance(kind, (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
 
 
-def _all_present(names: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(f"`{name}`").isNotNull() for name in names])
+def _item(frame: DataFrame, on: Sequence[str], as_text: bool) -> Column:
+    """The key as one value, null if a part of it is."""
+    if not as_text:
+        return frame[f"`{on[0]}`"]
+    # Adding 0 makes -0.0 equal to 0.0, as it is in a join.
+    parts = [frame[f"`{c}`"] + F.lit(0.0) if isinstance(frame.schema[c].dataType, T.FractionalType) and not isinstance(frame.schema[c].dataType, T.DecimalType) else frame[f"`{c}`"] for c in on]
+    present = reduce(lambda a, b: a & b, [p.isNotNull() for p in parts])
+    return F.when(present, F.to_json(F.struct(*[p.alias(f"k{i}") for i, p in enumerate(parts)])))
+
+
+def _hot_keys(frame: DataFrame, on: Sequence[str], as_text: bool, hot_parts: int) -> Column:
+    """Array of (item, cells) of the keys that hold more than one part in ``hot_parts`` of the rows; evaluated once a query."""
+    keys = frame.select(_item(frame, on, as_text).alias("item"), *([ROWS] if ROWS in frame.columns else [])).filter(F.col("item").isNotNull())
+    if ROWS in keys.columns:
+        total = keys.agg(F.sum(ROWS)).scalar()
+        hot = keys.filter(F.col(ROWS) * hot_parts > total)
+        return hot.agg(F.collect_list(F.struct("item", _cells(F.col(ROWS), total, hot_parts).alias("cells")))).scalar()
+    # With so many items tracked, every key above the share is found, whatever the order of merging.
+    top = F.call_function("approx_top_k", "item", F.lit(min(2 * hot_parts, 100_000)), F.lit(min(10 * hot_parts + 1000, 1_000_000)))
+    found = keys.agg(top.alias("top"), F.count("item").alias("n"))
+    cells = F.transform("top", lambda x: F.struct(x["item"].alias("item"), _cells(x["count"], F.col("n"), hot_parts).alias("cells")))
+    return found.select(F.filter(cells, lambda x: x["cells"] > 1)).scalar()
 
 
-def _cells(rows: str, total: Column, hot_parts: int) -> Column:
+def _cells(rows: Column, total: Column, hot_parts: int) -> Column:
     """One cell for each part of the rows that a key has, no more than it has rows."""
-    parts = F.ceil(F.coalesce(F.col(rows) * F.lit(float(hot_parts)) / F.nullif(total, F.lit(0)), F.lit(0.0)))
-    return F.greatest(F.least(parts, F.col(rows)), F.lit(1)).cast("int")
+    return F.least(F.ceil(rows * F.lit(float(hot_parts)) / total), rows).cast("int")
+
+
+def _marks(spark: SparkSession, found: Mapping[str, Column]) -> DataFrame:
+    """(item, __rows, __cols): the cells of each hot key on its two sides."""
+    one = spark.range(0, 1, 1, 1).select(*[array.alias(name) for name, array in found.items()])
+    if len(found) == 1:
+        (name,) = found
+        return one.select(F.inline(name)).select("item", *[(F.col("cells") if n == name else F.lit(1)).alias(n) for n in ("__rows", "__cols")])
+
+    def cells_of(array: Column, item: Column) -> Column:
+        own = F.filter(array, lambda y: y["item"] == item)
+        return F.coalesce(F.get(F.transform(own, lambda y: y["cells"]), 0), F.lit(1))
+
+    rows, cols = F.col("__rows"), F.col("__cols")
+    both = F.transform(rows, lambda x: F.struct(x["item"].alias("item"), x["cells"].alias("__rows"), cells_of(cols, x["item"]).alias("__cols")))
+    only = F.filter(cols, lambda x: ~F.exists(rows, lambda y: y["item"] == x["item"]))
+    rest = F.transform(only, lambda x: F.struct(x["item"].alias("item"), F.lit(1).alias("__rows"), x["cells"].alias("__cols")))
+    return one.select(F.inline(F.concat(both, rest)))
+
+
+def _all_present(names: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"`{name}`").isNotNull() for name in names])
 
 
 def _spots(frame: DataFrame) -> int:
@@ -180,15 +210,14 @@ def _zero(frame: DataFrame, on: Sequence[str]) -> Column:
     return F.pmod(F.hash(*[frame[f"`{c}`"] for c in on]), F.lit(1))
 
 
-def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
+def _place(frame, on, as_text, marks, own, other, copies, tag) -> DataFrame:
     """Give each row its cell, and copy it along the other side's cells of a hot key."""
-    side = marks.withColumnsRenamed({n: f"__{tag}k{i}" for i, n in enumerate(names)})
+    item = f"__{tag}_item"
+    side = marks.withColumnRenamed("item", item)
     # Content and input partition together: copies of one row spread too, and a retried task repeats the choice.
     spot = F.xxhash64(F.spark_partition_id(), *_hashables(frame))
-    placed = frame.join(F.broadcast(side), _equal(frame, on, side, f"__{tag}k"), "left").select(
+    placed = frame.join(F.broadcast(side), _item(frame, on, as_text) == side[item], "left").select(
         *_named(frame.columns),
-        F.lit(True).alias(f"__{tag}_here"),
-        F.col("__met").alias(f"__{tag}_met"),
         F.when(F.col(own).isNotNull(), F.pmod(spot, F.col(own)))
         .when(~_all_present(on), F.pmod(spot, F.lit(_spots(frame))))
         .otherwise(0)
@@ -196,5 +225,6 @@ def _place(frame, on, marks, names, own, other, copies, tag) -> DataFrame:
         .alias(f"__{tag}_own"),
         F.coalesce(F.col(other), F.lit(1)).alias("__span"),
     )
+    placed = placed.withColumn(f"__{tag}_copied", F.col("__span") > 1)
     cell = F.explode(F.sequence(F.lit(0), F.col("__span") - 1)) if copies else _zero(frame, on)
     return placed.withColumn(f"__{tag}_other", cell).drop("__span")

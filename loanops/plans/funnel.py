@@ -12,8 +12,8 @@ from loanops import constants as C
 from loanops.functions.timekit import day, to_business_time
 from loanops.operators.aggregates import flag_any
 from loanops.operators.history import group_max_rows, with_group_min
-from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, spread_join
-from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes, persons_of
+from loanops.operators.joins import HOT_PARTS, Dimension, left_dims, spread_join
+from loanops.plans.journey import APPLICATION_LIMITS, leads_at, person_extremes, persons_of, portfolio_persons
 
 # Columns of the funnel, in published order.
 FUNNEL_COLUMNS = (
@@ -114,7 +114,11 @@ def application_funnel(t: Mapping[str, DataFrame], house_name: str = "HOUSE") ->
     )
 
 
-def latest_message_status(messages: DataFrame, kind: str = "EMAIL") -> DataFrame:
+# Fixed value: kind of the messages whose status is shown.
+MESSAGE_KIND = "EMAIL"
+
+
+def latest_message_status(messages: DataFrame, kind: str = MESSAGE_KIND) -> DataFrame:
     """Each recipient's latest message records of one kind, ties kept."""
     wanted = messages.filter(F.col("message_type") == kind).select(
         "message_type", "primary_recipient", "record_created_on", "record_last_updated_on", F.col("status").alias("email_status")
@@ -123,9 +127,9 @@ def latest_message_status(messages: DataFrame, kind: str = "EMAIL") -> DataFrame
 
 
 def platform_leads(t: Mapping[str, DataFrame], platform_id) -> DataFrame:
-    """Leads of one platform with names."""
+    """Leads of one platform."""
     leads = t["customer_leads"].filter(F.col("platform_account_id") == platform_id)
-    leads = leads.select(
+    return leads.select(
         "lead_id",
         "pan",
         "partner_account_id",
@@ -136,7 +140,6 @@ def platform_leads(t: Mapping[str, DataFrame], platform_id) -> DataFrame:
         "email_id",
         "request_id",
     )
-    return left_dims(leads, _names(t))
 
 
 def platform_lead_funnel(
@@ -154,13 +157,16 @@ def platform_lead_funnel(
     leads = platform_leads(t, platform_id)
     messages = latest_message_status(t["communication_message_records"])
     best = person_extremes(leads, portfolio, "created_on", "min")
+    # A recipient with a message of the kind that has a time has a latest one.
+    recipients = t["communication_message_records"].filter((F.col("message_type") == MESSAGE_KIND) & F.col("record_last_updated_on").isNotNull())
     first = spread_join(
-        leads_at(leads, portfolio, best, "created_on"),
+        left_dims(leads_at(leads, portfolio, best, "created_on", hot_parts), _names(t)),
         messages,
         ["email_id"],
         ["primary_recipient"],
         "left",
-        left_keys=leads.select("pan", "email_id").distinct().join(best.select("pan", ROWS), "pan").select("email_id", ROWS),
+        hot="right",
+        right_keys=recipients.select("primary_recipient"),
         hot_parts=hot_parts,
     )
     first = first.withColumnsRenamed({c: _LEAD + c for c in first.columns})
@@ -173,7 +179,7 @@ def platform_lead_funnel(
         [_LEAD + "pan"],
         "full",
         left_keys=persons_of(t, applications),
-        right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
+        right_keys=portfolio_persons(leads, portfolio).withColumnRenamed("pan", _LEAD + "pan"),
         hot_parts=hot_parts,
     )
 

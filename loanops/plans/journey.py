@@ -6,7 +6,7 @@ with a null key drop out, the sum of nothing is 0, equal extreme rows are all ke
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -26,7 +26,7 @@ from loanops.functions.rules import (
 from loanops.functions.timekit import period, since_instant
 from loanops.operators.aggregates import median_and_sums
 from loanops.operators.history import BEST, extremes, latest_row
-from loanops.operators.joins import HOT_PARTS, ROWS, Dimension, left_dims, per_key, spread_join
+from loanops.operators.joins import HOT_PARTS, Dimension, left_dims, per_key, spread_join
 
 
 @dataclass(frozen=True)
@@ -72,14 +72,21 @@ def _channel(platforms: Platforms) -> Column:
     )
 
 
-def customer_leads(t: Mapping[str, DataFrame], platforms: Platforms) -> DataFrame:
-    """Leads with platform and partner names and the business channel."""
-    leads = t["customer_leads"].select(
+def lead_accounts(t: Mapping[str, DataFrame]) -> DataFrame:
+    return t["customer_leads"].select(
         "lead_id", "pan", "partner_account_id", "platform_account_id", F.col("phone_number").alias("mfc_phone_number")
     )
+
+
+def named_leads(t: Mapping[str, DataFrame], platforms: Platforms, leads: DataFrame) -> DataFrame:
     return left_dims(leads, [_platform(t), _partner(t)]).withColumn("business_channel", _channel(platforms))
 
 
+def customer_leads(t: Mapping[str, DataFrame], platforms: Platforms) -> DataFrame:
+    """Leads with platform and partner names and the business channel."""
+    return named_leads(t, platforms, lead_accounts(t))
+
+
 APPLICATION_LIMITS = {
     "app_available_portfolio_value": "available_portfolio_value",
     "app_eligible_portfolio_value": "eligible_portfolio_value",
@@ -112,14 +119,13 @@ def _application_rows(t: Mapping[str, DataFrame], step: str | None) -> DataFrame
 
 
 def application_persons(t: Mapping[str, DataFrame], step: str | None = None) -> DataFrame:
-    """``app_pan`` of ``application_facts`` with row counts, from one row per account and without its other joins."""
+    """``app_pan`` of ``application_facts``, without its other joins."""
     return persons_of(t, _application_rows(t, step))
 
 
 def persons_of(t: Mapping[str, DataFrame], applications: DataFrame) -> DataFrame:
-    accounts = applications.groupBy("account_id").agg(F.count("*").alias(ROWS))
     borrower = Dimension(t["borrower_accounts"], "account_id", "account_id", {"app_pan": "account_holderpan"})
-    return left_dims(accounts, [borrower]).select("app_pan", ROWS)
+    return left_dims(applications.select("account_id"), [borrower]).select("app_pan")
 
 
 def application_facts(t: Mapping[str, DataFrame], platforms: Platforms, step: str | None = None) -> DataFrame:
@@ -206,30 +212,34 @@ _LEAD = "lead__"
 
 
 def person_extremes(leads: DataFrame, portfolio: DataFrame, by: str, which: str) -> DataFrame:
-    """Per person with a portfolio row, the latest or first portfolio time and the number of rows.
+    """Per person with a portfolio row, the latest or first portfolio time.
 
     The portfolio is reduced to one row per lead before it meets the leads.
     """
     per_lead = extremes(portfolio, ["lead_id"], by, which)
     persons = leads.select("lead_id", "pan").filter(F.col("pan").isNotNull()).join(per_lead, "lead_id", "inner")
     best = F.max if which == "max" else F.min
-    return per_key(persons, ["pan"], best(BEST).alias(BEST), F.sum(ROWS).alias(ROWS))
+    return per_key(persons, ["pan"], best(BEST).alias(BEST))
 
 
-def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str) -> DataFrame:
+def leads_at(leads: DataFrame, portfolio: DataFrame, best: DataFrame, by: str, hot_parts: int = HOT_PARTS) -> DataFrame:
     """Each person's lead rows at that time, ties kept.
 
     Only persons with a portfolio row take part; one whose times are all missing keeps every lead row, also
-    those without portfolio. The time is part of the join with the portfolio, so rows of other times go no further.
+    those without portfolio: all portfolio rows of such a person have no time, so a lead without one is told by the left join.
     """
     side = nan_to_null(portfolio).withColumnRenamed("lead_id", "__lead_id")
     known = best.select(F.col("pan").alias("__pan"), BEST)
     persons = leads.join(known, F.col("pan") == F.col("__pan")).drop("__pan")
-    dated = persons.join(side, (persons["lead_id"] == side["__lead_id"]) & side[by].eqNullSafe(persons[BEST]), "inner")
-    # Persons without any time: all of their portfolio rows have none, so only such rows can tell who has one.
-    untimed = side.filter(F.col(by).isNull()).select("__lead_id").distinct()
-    bare = persons.filter(F.col(BEST).isNull()).join(untimed, F.col("lead_id") == F.col("__lead_id"), "left_anti")
-    return dated.drop("__lead_id").unionByName(bare, allowMissingColumns=True).drop(BEST)
+    rows = spread_join(persons, side, ["lead_id"], ["__lead_id"], "left", hot="right", right_keys=portfolio.select(F.col("lead_id").alias("__lead_id")), hot_parts=hot_parts)
+    found = F.col("__lead_id").isNotNull()
+    return rows.filter(F.when(found, F.col(by).eqNullSafe(F.col(BEST))).otherwise(F.col(BEST).isNull())).drop("__lead_id", BEST)
+
+
+def portfolio_persons(leads: DataFrame, portfolio: DataFrame) -> DataFrame:
+    """``pan`` of each portfolio row; every one of these persons has rows in ``leads_at``."""
+    persons = leads.select(F.col("lead_id").alias("__lead_id"), "pan").filter(F.col("pan").isNotNull())
+    return portfolio.select("lead_id").join(persons, F.col("lead_id") == F.col("__lead_id")).select("pan")
 
 
 def customer_journey(
@@ -240,20 +250,21 @@ def customer_journey(
     platforms: Platforms,
     persons: DataFrame | None = None,
     hot_parts: int = HOT_PARTS,
+    named: Callable[[DataFrame], DataFrame] = lambda rows: rows,
 ) -> DataFrame:
     """Each person's latest lead rows against all their applications, judged, with eligible journeys kept.
 
     The application wins where both sides have a value. ``persons``: the persons of
-    ``applications`` with row counts, from a cheaper plan, to find hot ones. The sanctioned limit belongs to the
-    application, so it is joined before the full join, where no key is missing.
+    ``applications``, from a cheaper plan, to find hot ones. The sanctioned limit belongs to the
+    application, so it is joined before the full join, where no key is missing. ``named`` adds names and channel to the lead
+    rows that are kept, where ``leads`` come without them.
     """
     best = person_extremes(leads, portfolio, "last_updated_on", "max")
-    latest = leads_at(leads, portfolio, best, "last_updated_on")
+    latest = named(leads_at(leads, portfolio, best, "last_updated_on", hot_parts))
     latest = latest.withColumnsRenamed({c: _LEAD + c for c in latest.columns})
     limits = sanctioned.withColumnRenamed("application_id", "__app")
     applications = nan_to_null(applications)
     applications = applications.join(limits, F.col("application_id") == F.col("__app"), "left").drop("__app")
-    # Every person with a portfolio row has a latest row, so their counts bound that side and tell presence.
     both = spread_join(
         applications,
         latest,
@@ -261,7 +272,7 @@ def customer_journey(
         [_LEAD + "pan"],
         "full",
         left_keys=persons,
-        right_keys=best.withColumnRenamed("pan", _LEAD + "pan"),
+        right_keys=portfolio_persons(leads, portfolio).withColumnRenamed("pan", _LEAD + "pan"),
         hot_parts=hot_parts,
     )
 
@@ -326,13 +337,14 @@ def journey_of(
 ) -> DataFrame:
     """The journey over a catalog: of the current applications, or of those that were at ``step``."""
     return customer_journey(
-        customer_leads(t, platforms),
+        lead_accounts(t),
         portfolio_leads(t),
         application_facts(t, platforms, step),
         sanctioned_amounts(t),
         platforms,
         application_persons(t, step),
         hot_parts,
+        lambda rows: named_leads(t, platforms, rows),
     )
 
 
@@ -364,7 +376,7 @@ def _summary(rows: DataFrame, keys: list[str], generic: bool = False) -> DataFra
 
     Totals and medians come from the same reduced rows.
     """
-    found = median_and_sums(rows, keys, _LIMIT, ["sanctioned_limit", _LIMIT], "median_eligible_credit")
+    found = median_and_sums(rows, keys, _LIMIT, ["sanctioned_limit", _LIMIT], "median_eligible_credit", coarse=1 << 14, rounds=1)
     limits, known = F.col(f"sum_{_LIMIT}"), F.col(f"count_{_LIMIT}")
     # The credit column keeps its published name although it is a sum of money.
     credit = F.col("count_sanctioned_limit") if generic else F.coalesce("sum_sanctioned_limit", F.lit(0))

@@ -14,10 +14,20 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Both sides of a join on (group, value) are exchanged, so a hot partition can be split.
     "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    # The marks of a spread join are one subquery that both of its sides read.
+    "spark.sql.execution.reuseSubquery": "true",
     # Split a hot join partition even where that costs one more exchange behind the join.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+# Settings of the session's start; a cluster's submit command should give them too.
+START_CONF = {
+    # Call sites of every column function, for error messages only: recording them takes most of the time in which a plan is built.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A report of many stages has more generated classes than the default 100; without room each run compiles them again.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
+
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
@@ -31,6 +41,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("loanops")
+        .config(map=START_CONF)
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))

@@ -105,11 +105,33 @@ def test_median_of_hard_values_in_one_group(spark, value):
     assert aggregates.exact_median(frame, ["k"], "v").first()["median"] == statistics.median(known)
 
 
-def test_no_task_sorts_more_than_a_small_share_of_a_hot_group(spark):
-    frame = spark.range(200_000, numPartitions=8).select(F.lit("x").alias("k"), (F.xxhash64("id") / 1e9).alias("v"))
-    assert aggregates.median_and_sums(frame, ["k"], "v", ()).first()["rows"] == 200_000
-    ranks = frame.agg(F.percentile_approx("v", [0.5 - 4 / aggregates.SKETCH, 0.5 + 4 / aggregates.SKETCH], aggregates.SKETCH)).first()[0]
-    assert 0 < frame.filter(F.col("v").between(*ranks)).count() < 0.01 * 200_000
+def _brackets(frame, rounds):
+    """How many different values each round leaves."""
+    rows, left = frame.select(F.struct("k").alias("__k"), F.col("v").alias("__v")), []
+    added = [F.count("*").alias("__n"), F.min("__v").alias("__low"), F.max("__v").alias("__high")]
+    found = aggregates._picked(rows.groupBy("__k", aggregates._octaves(F.col("__v"), aggregates.COARSE).alias("__slot")).agg(*added), [], False)
+    for _ in range(rounds):
+        inside = aggregates._inside(rows, found)
+        left.append(inside.select("__v").distinct().count())
+        carried = [F.first(c).alias(c) for c in ("__total", "__before", "__next", "__o__n")]
+        found = aggregates._picked(inside.groupBy("__k", aggregates._steps().alias("__slot")).agg(*added, *carried), [], True)
+    return left
+
+
+@pytest.mark.parametrize("value", ["xxhash64(id) / 1e9", "id / 1e300", "1e9 + id / 1e6", "exp((xxhash64(id) % 1000) / 2.0)", "-1 - id / 1e12"])
+def test_rounds_leave_few_values_of_a_hot_group(spark, value):
+    frame = spark.range(200_000, numPartitions=8).selectExpr("'x' as k", f"double({value}) as v")
+    assert _brackets(frame, 2)[1] <= 10
+    known = sorted(r["v"] for r in frame.collect())
+    assert aggregates.exact_median(frame, ["k"], "v").first()["median"] == statistics.median(known)
+
+
+def test_slots_never_fall(spark):
+    values = sorted({s * m * 2.0**e for s in (-1, 1) for e in (-1074, -1022, -1021, -3, -1, 0, 1, 52, 1023) for m in (0.0, 1.0, 1.0000001, 1.4999, 1.9999999999999998)})
+    values = [float("-inf"), *values, float("inf")]
+    frame = spark.createDataFrame(list(enumerate(values)), "i int, v double").select("i", "v", aggregates._octaves(F.col("v"), 8).alias("s"))
+    slots = [r["s"] for r in frame.orderBy("i").collect()]
+    assert slots == sorted(slots)
 
 
 def test_median_and_sums_with_null_values_and_keys(make):

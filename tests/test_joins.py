@@ -57,6 +57,45 @@ def test_key_table_with_counts_too_high(sides):
     assert rows_of(spread.select("a", "k", "r", "b")) == rows_of(plain)
 
 
+def test_hot_keys_need_no_exchange_of_keys(sides):
+    """The sketch meets in one row a task, and both sides read one result of it."""
+    left, right = sides
+    joins.spread_join(left, right, ["k"], ["r"], "full").collect()
+    plan = joins.spread_join(left, right, ["k"], ["r"], "full")._jdf.queryExecution().executedPlan().toString()
+    assert "approx_top_k" in plan and "SinglePartition" in plan
+    keyed = [line for line in plan.splitlines() if "hashpartitioning" in line]
+    assert keyed and all("__l_own" in line or "__r_own" in line for line in keyed)
+
+
+def test_sketch_finds_every_key_above_the_share(spark):
+    """Keys just above one part in a thousand, among many that are rare, in any order of merging."""
+    hot = spark.range(0, 40 * 130, 1, 13).select((F.col("id") % 40).alias("k"))
+    rows = hot.unionAll(spark.range(100, 95_000, 1, 17).select(F.col("id").alias("k"))).repartition(11)
+    found = spark.range(1).select(joins._hot_keys(rows, ["k"], False, 1000).alias("a")).first()["a"]
+    assert {x["item"] for x in found} >= set(range(40)) and len(found) <= 2000
+
+
+@pytest.mark.parametrize("kind", ["string", "double", "decimal(20,3)", "date", "timestamp_ntz", "binary", "struct<a:bigint,b:string>"])
+def test_key_types(spark, sides, kind):
+    left, right = sides
+
+    def cast(name):
+        key = F.col(name)
+        if kind.startswith("struct"):
+            return F.when(key.isNotNull(), F.struct(key.alias("a"), key.cast("string").alias("b")))
+        if kind in ("date", "timestamp_ntz"):
+            return F.date_add(F.lit("2024-01-01").cast("date"), key.cast("int")).cast(kind)
+        if kind == "binary":
+            return key.cast("string").cast("binary")
+        # -0.0 and 0.0 are one key.
+        return F.when(key == 7, F.lit(-0.0 if name == "k" else 0.0)).otherwise(key.cast("double")) if kind == "double" else key.cast(kind)
+
+    left, right = left.select("a", cast("k").alias("k")), right.select(cast("r").alias("r"), "b")
+    plain = left.join(right, left["k"] == right["r"], "full").select("a", "k", "r", "b")
+    spread = joins.spread_join(left, right, ["k"], ["r"], "full", hot_parts=20)
+    assert rows_of(spread) == rows_of(plain)
+
+
 def test_two_keys(sides):
     left, right = sides
     left = left.withColumn("k2", F.col("a") % 2)
