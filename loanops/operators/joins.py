@@ -101,6 +101,11 @@ def spread_join(
     return joined.select(*_named(left.columns), *_named(right.columns))
 
 
+def hot_keys(frame: DataFrame, key: str, parts: int) -> Column:
+    """Scalar array of (item, cells): the keys that hold more than one part in ``parts`` of the rows, at most twice as many."""
+    return _hot_keys(frame, [key], False, parts)
+
+
 def per_key(frame: DataFrame, keys: Sequence[str], *aggregates: Column) -> DataFrame:
     """Aggregates per key, dealt out by a hash of the key as well.
 

@@ -27,6 +27,7 @@ from loanops.functions.timekit import period, since_instant
 from loanops.operators.aggregates import median_and_sums
 from loanops.operators.history import BEST, extremes, latest_row
 from loanops.operators.joins import HOT_PARTS, Dimension, left_dims, per_key, spread_join
+from loanops.sources.stores import by_key
 
 
 @dataclass(frozen=True)
@@ -114,8 +115,11 @@ def _application_rows(t: Mapping[str, DataFrame], step: str | None) -> DataFrame
     live = F.col("application_state") != C.SUSPENDED
     if step is None:
         return t["credit_applications_entity"].filter(live).select(*_APPLICATION_COLUMNS)
-    history = t["credit_applications_entity_audit"].filter(live & (F.col("current_step_id") == step))
-    return latest_row(history.select(*_APPLICATION_COLUMNS), ["application_id"], "last_updated_on")
+    at_step = live & (F.col("current_step_id") == step)
+    return by_key(
+        t["credit_applications_entity_audit"],
+        lambda history: latest_row(history.filter(at_step).select(*_APPLICATION_COLUMNS), ["application_id"], "last_updated_on"),
+    )
 
 
 def application_persons(t: Mapping[str, DataFrame], step: str | None = None) -> DataFrame:

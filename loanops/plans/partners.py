@@ -13,6 +13,7 @@ from loanops.functions.rules import bracketed, safe_ratio, trimmed
 from loanops.functions.timekit import instant, month_gap, month_start, to_business_time, trunc, whole_days
 from loanops.operators.history import next_after
 from loanops.operators.joins import HOT_PARTS, Dimension, left_dims, per_key, spread_join
+from loanops.sources.stores import by_key, whole
 
 # ---------------------------------------------------------------- payouts
 
@@ -95,8 +96,11 @@ def _weighted_applications(t: Mapping[str, DataFrame], dedupe_history: bool) ->
     history rows as they are, so an application appears once per COMPLETED row. Here that is a number, which
     later sums multiply by; nothing is copied.
     """
-    done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
-    times = done.groupBy("application_id").agg(F.count("*").alias("completed_rows"))
+    done = F.col("application_state") == C.COMPLETED
+    times = by_key(
+        t["credit_applications_entity_audit"],
+        lambda history: history.filter(done).groupBy("application_id").agg(F.count("*").alias("completed_rows")),
+    )
     rows = t["credit_applications_entity"].filter(F.col("application_state").isin(C.COMPLETED, C.SUSPENDED))
     found = Dimension(times, "application_id", "application_id", {"completed_rows": "completed_rows"})
     joined = left_dims(rows.select(*_ENTITY_COLUMNS), [found])
@@ -114,7 +118,7 @@ def effective_applications(
     rows = _weighted_applications(t, dedupe_history=True).drop("copies").withColumn("date_source", F.lit(DEFAULTED))
     if dedupe_history:
         return rows
-    done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
+    done = whole(t["credit_applications_entity_audit"]).filter(F.col("application_state") == C.COMPLETED)
     side = done.select(F.col("application_id").alias("__app"))
     return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_parts=hot_parts).drop("__app")
 
@@ -132,14 +136,11 @@ def _dated_applications(
     """
     cutoff = instant(history_start)
     rows = _weighted_applications(t, dedupe_history)
-    moved = next_after(
+    moved = by_key(
         t["credit_applications_entity_audit"],
-        "application_id",
-        "application_state",
-        "last_updated_on",
-        C.IN_PROGRESS,
-        C.COMPLETED,
-        "moved_on",
+        lambda history: next_after(
+            history, "application_id", "application_state", "last_updated_on", C.IN_PROGRESS, C.COMPLETED, "moved_on"
+        ),
     )
     rows = left_dims(rows, [Dimension(moved, "application_id", "application_id", {"moved_on": "moved_on"})])
     first = per_key(t["credit_main"].filter(F.col("created_on") < cutoff), ["account_id"], F.min("created_on").alias("first_credit_on"))
@@ -222,7 +223,7 @@ def completed_credits(
     if dedupe_history or not expand:
         return _weighted_credits(t, history_start, exclude_ids, dedupe_history)
     rows = _weighted_credits(t, history_start, exclude_ids, True).drop("copies")
-    done = t["credit_applications_entity_audit"].filter(F.col("application_state") == C.COMPLETED)
+    done = whole(t["credit_applications_entity_audit"]).filter(F.col("application_state") == C.COMPLETED)
     side = done.select(F.col("application_id").alias("__app"))
     return spread_join(rows, side, ["application_id"], ["__app"], "left", hot="right", hot_parts=hot_parts).drop("__app")
 
