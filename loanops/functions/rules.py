@@ -56,7 +56,7 @@ def flatten(frame: DataFrame, sep: str = ".") -> DataFrame:
                 yield here
 
     return frame.select(
-        *[F.col(".".join(f"`{part}`" for part in path)).alias(sep.join(path)) for path in leaves(frame.schema, ())]
+        *[F.col(".".join(f"`{part.replace('`', '``')}`" for part in path)).alias(sep.join(path)) for path in leaves(frame.schema, ())]
     )
 
 

@@ -80,6 +80,11 @@ def to_business_time(moment: Column, offset: timedelta = BUSINESS_OFFSET) -> Col
     return moment + F.lit(offset)
 
 
+def to_zone(moment: Column, zone: str, source: str = "UTC") -> Column:
+    """A zoneless moment of ``source`` as the clock of ``zone`` shows it; names of zones follow their rules, changes of the clock included."""
+    return F.convert_timezone(F.lit(source), F.lit(zone), moment)
+
+
 # Period codes and their text form.
 _PERIOD_FORMATS = {"M": "yyyy-MM", "D": "yyyy-MM-dd"}
 

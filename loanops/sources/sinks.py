@@ -7,9 +7,11 @@ a report split by lender is sorted within each lender's files.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,8 +108,66 @@ def publish_all(
         publish(frame, title, folder, delivery, (orders or {}).get(title, ()))
 
 
-def write_per_lender(frame: DataFrame, folder: str, lender: str = "lender_id", order: Sequence[str | Column] = ()) -> None:
-    """One CSV folder per lender, null lenders included, from a single pass; rows keep the lender column."""
-    copy = frame.withColumn("lender", F.col(f"`{lender}`"))
+_MANIFEST = "run long, id string, title string, place string"
+
+
+def _manifest(spark: SparkSession, folder: str) -> DataFrame:
+    try:
+        return spark.read.schema(_MANIFEST).parquet(f"{folder}/manifest")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _MANIFEST)
+
+
+def publish_run(
+    reports: Mapping[str, DataFrame],
+    folder: str,
+    delivery: bool = False,
+    orders: Mapping[str, Sequence[str | Column]] | None = None,
+) -> int:
+    """Publish all reports or none: they are written beside the earlier ones, and one added file of the manifest makes them the current ones.
+
+    Readers that go through ``read_published`` see one run's reports, never a mixture. A run that fails leaves the last one current. A report
+    that a run does not have is no longer published. Returns the number of the run.
+    """
+    if len({table_name(title) for title in reports}) < len(reports):
+        raise ValueError(f"titles with the same table name: {list(reports)}")
+    first = next(iter(reports.values()))
+    spark, id = first.sparkSession, uuid.uuid4().hex
+    publish_all(reports, f"{folder}/runs/{id}", delivery, orders)
+    newest = _manifest(spark, folder).agg(F.max("run")).first()[0]
+    run = 1 if newest is None else newest + 1
+    places = F.inline(F.array(*[F.struct(F.lit(t).alias("title"), F.lit(f"{folder}/runs/{id}/{table_name(t)}").alias("place")) for t in reports]))
+    rows = spark.range(0, 1, 1, 1).select(F.lit(run).cast("long").alias("run"), F.lit(id).alias("id"), places)
+    rows.write.mode("append").parquet(f"{folder}/manifest")
+    return run
+
+
+def read_published(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The reports of the last complete run by title."""
+    manifest = _manifest(spark, folder)
+    last = manifest.agg(F.max(F.struct("run", "id")).alias("last")).select("last.*").first()
+    rows = manifest.filter((F.col("run") == last["run"]) & (F.col("id") == last["id"])).collect() if last["run"] else []
+    return {r["title"]: spark.read.parquet(r["place"]) for r in rows}
+
+
+def write_per_lender(
+    frame: DataFrame,
+    folder: str,
+    lender: str = "lender_id",
+    order: Sequence[str | Column] = (),
+    rows_per_file: int = 0,
+    keep_others: bool = False,
+) -> None:
+    """One CSV folder per lender, null lenders included, from a single pass; rows keep the lender column.
+
+    Rows are brought together by lender first, so a lender has few files; a large one is split to files of even size, and of at most
+    ``rows_per_file`` rows if that is given. ``keep_others``: replace only the folders of lenders that ``frame`` has.
+    """
+    copy = frame.withColumn("lender", F.col(f"`{lender}`")).hint("rebalance", F.col("lender"))
     copy = copy.sortWithinPartitions("lender", *order) if order else copy
-    as_text(copy).write.mode("overwrite").partitionBy("lender").options(**CSV).csv(folder)
+    writer = as_text(copy).write.mode("overwrite").partitionBy("lender").options(**CSV)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.option("partitionOverwriteMode", "dynamic" if keep_others else "static").csv(folder)

@@ -1,9 +1,16 @@
-"""Ticket pages landed as JSON files, one page per file."""
+"""Ticket pages landed as JSON files, one page per file.
+
+A schema names the fields that are read. Without one, the fields are those that the documents have: all documents are scanned once for the
+merged schema of their values, nested ones too; a field whose values are of kinds that do not merge becomes a variant.
+"""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PAGE_SCHEMA = (
     "tickets array<struct<id:bigint,status:string,subject:string,type:string,requester_id:bigint,assignee_id:bigint,"
@@ -31,8 +38,33 @@ def read_ticket_pages(
     return exploded(numbered, "page")
 
 
-def parse_pages(documents: DataFrame, text: str, page: str, schema: str = PAGE_SCHEMA) -> DataFrame:
-    """The same from page documents held as JSON text in a column; text that is not such a document has no tickets."""
+def found_schema(documents: DataFrame, text: str) -> T.StructType | None:
+    """The merged schema of all JSON objects in a text column; None if there is none. Runs a job."""
+    value = F.try_parse_json(F.col(f"`{text}`"))
+    whole = documents.select(value.alias("v")).filter(F.try_variant_get("v", "$", "map<string,variant>").isNotNull())
+    told = whole.agg(F.schema_of_variant_agg("v").alias("s")).first()["s"]
+    if not told.startswith("OBJECT<"):
+        return None
+    # A field that is null everywhere has no kind; text holds it.
+    kinds = re.compile(r"`(?:[^`]|``)*`|\bOBJECT<|\bVOID\b")
+    ddl = kinds.sub(lambda m: {"OBJECT<": "STRUCT<", "VOID": "STRING"}.get(m[0], m[0]), told)
+    return documents.sparkSession.sql(f"select from_json('', '{_quoted(ddl)}') as d").schema["d"].dataType
+
+
+def _quoted(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def parse_pages(documents: DataFrame, text: str, page: str, schema: str | T.StructType | None = PAGE_SCHEMA) -> DataFrame:
+    """The same from page documents held as JSON text in a column; text that is not such a document has no tickets.
+
+    ``schema`` None: all fields that the documents have, see ``found_schema``.
+    """
+    if schema is None:
+        schema = found_schema(documents, text)
+        tickets = schema["tickets"].dataType if schema is not None and "tickets" in schema.names else None
+        if not (isinstance(tickets, T.ArrayType) and isinstance(tickets.elementType, T.StructType)):
+            schema = PAGE_SCHEMA
     return exploded(documents.select(F.col(page).alias("page"), F.from_json(text, schema).alias("__doc")).select("page", "__doc.*"), "page")
 
 

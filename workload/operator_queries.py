@@ -549,6 +549,24 @@ def _(t):
     return t["events"].select("event_id", local.alias("local_on"), F.to_date(local).alias("local_day"))
 
 
+@query(
+    "g11_zone_names",
+    """select o_orderkey, at_sea at time zone 'UTC' at time zone 'Asia/Kolkata' as in_india,
+         at_sea at time zone 'UTC' at time zone 'America/New_York' as in_new_york,
+         cast(at_sea at time zone 'UTC' at time zone 'Europe/Berlin' as date) as day_in_berlin
+       from (select o_orderkey, cast(o_orderdate as timestamp) + interval 1 minute * (o_orderkey % 1440) as at_sea from orders)""",
+)
+def _(t):
+    """Seven years of moments, over every change of the clock."""
+    moment = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(mins=(F.col("o_orderkey") % 1440).cast("int"))
+    return t["orders"].select(
+        "o_orderkey",
+        timekit.to_zone(moment, "Asia/Kolkata").alias("in_india"),
+        timekit.to_zone(moment, "America/New_York").alias("in_new_york"),
+        F.to_date(timekit.to_zone(moment, "Europe/Berlin")).alias("day_in_berlin"),
+    )
+
+
 @query(
     "g12_period",
     "select strftime(l_shipdate, '%Y-%m') as month, strftime(l_shipdate, '%Y-%m-%d') as day, count(*) as n from lineitem group by all",

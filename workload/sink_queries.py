@@ -8,12 +8,13 @@ from uuid import uuid4
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanops.functions.rules import flatten
 from loanops.plans import daily, sla, tickets
 from loanops.session import checkpoint_folder
 from loanops.sources import sinks
-from loanops.sources.ticket_pages import parse_pages
+from loanops.sources.ticket_pages import parse_pages, read_ticket_pages
 from workload.daily_queries import COLLECTED
-from workload.registry import query
+from workload.registry import ORACLES, query
 from workload.sla_queries import BOARDS, RECENT_AS_OF, RECENT_CUBES, TERMS
 from workload.standins import AS_OF
 
@@ -100,6 +101,76 @@ def _(t):
     return reduce(DataFrame.unionByName, [f.toDF(*names).withColumn("report", F.lit(n)) for n, f in zip(_TITLES.values(), back)])
 
 
+@query("a9_publish_run", ORACLES["a9_publish_all"])
+def _(t):
+    """Two runs; the first publishes other figures, the last one is read."""
+    folder = _folder(t["orders"])
+    sinks.publish_run({title: f.limit(0) for title, f in sla.published_reports(t, TERMS, RECENT_AS_OF).items()}, folder)
+    sinks.publish_run(sla.published_reports(t, TERMS, RECENT_AS_OF), folder)
+    back = {sinks.table_name(title): f for title, f in sinks.read_published(t["orders"].sparkSession, folder).items()}
+    names = ["day", "verdict", "time_delay_till_today", "delay_in_settlement", "count"]
+    return reduce(DataFrame.unionByName, [back[title].toDF(*names).withColumn("report", F.lit(title)) for title in _TITLES.values()])
+
+
+def _placed(rows: DataFrame, first: list, name: str) -> DataFrame:
+    """Rows read from files with their place in the order of the files."""
+    spots = {"__file": F.col("_metadata.file_name"), "__block": F.col("_metadata.file_block_start"), "__row": F.monotonically_increasing_id()}
+    spotted = rows.select("*", *[c.alias(n) for n, c in spots.items()])
+    return sinks.with_row_number(spotted, [*first, *spots], name).drop(*spots)
+
+
+@query("e2_order_of_rows", "select row_number() over (order by c_acctbal desc, c_custkey) - 1 as place, c_custkey from customer")
+def _(t):
+    frame = t["customer"].select("c_custkey", "c_acctbal")
+    sinks.write_csv(frame, folder := _folder(frame), [F.desc("c_acctbal"), "c_custkey"])
+    return _placed(_read_csv(frame, folder), [], "place").select("place", "c_custkey")
+
+
+@query(
+    "e6_order_per_lender",
+    f"""select lender_id, request_id, row_number() over (partition by lender_id order by request_id) - 1 as place
+        from (select distinct lender_id, request_id from ({COLLECTED}))""",
+)
+def _(t):
+    """A first write of everything, then the lenders of a part of the rows are replaced by whole ones; the others stay."""
+    frame = daily.foreclosure_collections(t, AS_OF).select("lender_id", "request_id").distinct()
+    folder = _folder(frame)
+    sinks.write_per_lender(frame, folder, order=["request_id"])
+    sinks.write_per_lender(frame.filter("lender_id = 'Alpha'"), folder, order=["request_id"], keep_others=True)
+    placed = _placed(_read_csv(frame, folder), ["lender_id"], "at")
+    first = placed.groupBy("lender_id").agg(F.min("at").alias("first"))
+    both = placed.join(first.withColumnRenamed("lender_id", "l"), F.col("lender_id").eqNullSafe(F.col("l")))
+    return both.select("lender_id", "request_id", (F.col("at") - F.col("first")).alias("place"))
+
+
+_PAGE = """'{"tickets": [{"id": ' || conv_id || ', "via": {"channel": "' || coalesce(role, '-') || '", "source": {"rank": ' || turn || '}}, "odd name": null}]}'"""
+
+
+@query(
+    "a3_tickets_of_any_fields",
+    """select conv_id as page, 0 as position, conv_id as id, role as "via.channel", turn as "via.source.rank", cast(null as varchar) as "odd name"
+       from conversations""",
+)
+def _(t):
+    """Fields that no schema names become columns, nested ones too."""
+    pages = t["conversations"].select(F.col("conv_id").alias("page"), F.expr(_PAGE).alias("text"))
+    return flatten(parse_pages(pages, "text", "page", schema=None))
+
+
+@query(
+    "e5_page_limit",
+    "select conv_id + 1 as page, turn as id, role as status, text as subject from conversations where conv_id + 1 <= 10",
+)
+def _(t):
+    """Landed page files, a conversation each; the first ten are read."""
+    ticket = F.struct(F.col("turn").alias("id"), F.col("role").alias("status"), F.col("text").alias("subject"))
+    page = t["conversations"].groupBy((F.col("conv_id") + 1).alias("page")).agg(F.collect_list(ticket).alias("tickets"))
+    folder = _folder(page)
+    page.write.partitionBy("page").json(folder)
+    rows = read_ticket_pages(page.sparkSession, folder, max_pages=10, page_number=r"page=(\d+)/")
+    return rows.select(F.col("page").cast("long").alias("page"), "id", "status", "subject")
+
+
 @query(
     "a3_ticket_pages",
     """select conv_id * 100 + turn as id, role as status, text as subject, role || ',chat' as tags, upper(role) as stage, 0 as position
