@@ -15,6 +15,7 @@ from loanops.constants import BUSINESS_OFFSET
 from loanops.functions.rules import json_text
 from loanops.functions.timekit import instant, midnight, to_business_time, trunc
 from loanops.operators.aggregates import distinct_counts
+from loanops.operators.bitmaps import distinct_state, merged_counts
 
 # Mandate states.
 FINISHED = "Finished"
@@ -41,9 +42,21 @@ def mandate_events(mandates: DataFrame, as_of, days: int = 6, request_field: str
     )
 
 
+def _summary_counts(request: str, application: str) -> dict:
+    status = F.col("mandate_status")
+    return {
+        "total_mandate_attempts_events": (request, None),
+        "total_mandate_success_events": (request, status == FINISHED),
+        "total_mandate_failed_events": (request, status == FAILED),
+        "total_applications_attempts": (application, None),
+        "total_applications_success_attempts": (application, status == FINISHED),
+        "total_applications_failed_attempts": (application, status == FAILED),
+    }
+
+
 def mandate_summary(events: DataFrame, lender: str) -> DataFrame:
     """Per day: distinct requests and applications, all, successful and failed."""
-    created, status = F.col("created_date_time"), F.col("mandate_status")
+    created = F.col("created_date_time")
     dated = events.select(
         F.to_date(created).alias("date"),
         trunc("week", created).alias("week_start"),
@@ -52,21 +65,28 @@ def mandate_summary(events: DataFrame, lender: str) -> DataFrame:
         "application_id",
         "mandate_status",
     )
-    counts = distinct_counts(
-        dated,
-        ["date", "week_start", "month_start"],
-        {
-            "total_mandate_attempts_events": ("mandate_request_id", None),
-            "total_mandate_success_events": ("mandate_request_id", status == FINISHED),
-            "total_mandate_failed_events": ("mandate_request_id", status == FAILED),
-            "total_applications_attempts": ("application_id", None),
-            "total_applications_success_attempts": ("application_id", status == FINISHED),
-            "total_applications_failed_attempts": ("application_id", status == FAILED),
-        },
-    )
+    counts = distinct_counts(dated, ["date", "week_start", "month_start"], _summary_counts("mandate_request_id", "application_id"))
     return counts.select(F.lit(lender).alias("lender"), *counts.columns)
 
 
+def mandate_rollup(events: DataFrame, lender: str, request: str = "mandate_request_id", application: str = "application_id") -> DataFrame:
+    """The same counts per day, per week and per month (``unit`` D, W, M), all from one pass: the days' bitmaps make those of weeks and months.
+
+    ``request`` and ``application``: columns of whole-numbered ids that lie close together.
+    """
+    counts = _summary_counts(request, application)
+    state = distinct_state(events.withColumn("date", F.to_date("created_date_time")), ["date"], counts)
+    periods = F.array(
+        *[
+            F.struct(F.lit(unit).alias("unit"), start.alias("start"))
+            for unit, start in (("D", F.col("date")), ("W", F.trunc("date", "week")), ("M", F.trunc("date", "month")))
+        ]
+    )
+    rows = state.withColumn("period", F.explode(periods)).select("period.*", *[c for c in state.columns if c != "date"])
+    found = merged_counts(rows, ["unit", "start"], list(counts))
+    return found.select(F.lit(lender).alias("lender"), *found.columns)
+
+
 def status_counts(mandates: DataFrame) -> DataFrame:
     return mandates.groupBy("mandate_status").agg(F.count("*").alias("count"))
 

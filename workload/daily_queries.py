@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loanops.functions.rules import flatten
 from loanops.operators.aggregates import count_columns
+from loanops.operators.bitmaps import distinct_state, merged_counts, with_dense_ids
 from loanops.operators.joins import semi_ids
 from loanops.plans import daily, mandates, tickets
 from workload.registry import query
@@ -94,6 +95,41 @@ def _(t):
     return mandates.mandate_summary(_mandate_events(t), "Alpha")
 
 
+_COUNTS = """count(distinct mandate_request_id) as total_mandate_attempts_events,
+    count(distinct case when mandate_status = 'Finished' then mandate_request_id end) as total_mandate_success_events,
+    count(distinct case when mandate_status = 'Failed' then mandate_request_id end) as total_mandate_failed_events,
+    count(distinct application_id) as total_applications_attempts,
+    count(distinct case when mandate_status = 'Finished' then application_id end) as total_applications_success_attempts,
+    count(distinct case when mandate_status = 'Failed' then application_id end) as total_applications_failed_attempts"""
+
+
+@query(
+    "j40_mandate_rollup",
+    " union all ".join(
+        f"""select 'Alpha' as lender, '{unit}' as unit, cast(date_trunc('{name}', created_date_time) as date) as start, {_COUNTS}
+            from ({MANDATES}) group by all"""
+        for unit, name in (("D", "day"), ("W", "week"), ("M", "month"))
+    ),
+)
+def _(t):
+    events = with_dense_ids(_mandate_events(t), "mandate_request_id", "request_number")
+    return mandates.mandate_rollup(events, "Alpha", "request_number")
+
+
+@query(
+    "d12_merged_bitmaps",
+    """select month(o_orderdate) as month, count(distinct o_custkey) as customers,
+       count(distinct case when o_orderstatus = 'F' then o_custkey end) as customers_served, count(distinct o_orderkey) as orders
+       from orders group by 1""",
+)
+def _(t):
+    """Counted by month of a year, read by month of any year."""
+    test = F.col("o_orderstatus") == "F"
+    counts = {"customers": ("o_custkey", None), "customers_served": ("o_custkey", test), "orders": ("o_orderkey", None)}
+    state = distinct_state(t["orders"].withColumn("year_month", F.trunc("o_orderdate", "month")), ["year_month"], counts)
+    return merged_counts(state.withColumn("month", F.month("year_month")), ["month"], list(counts))
+
+
 @query("j41_status_counts", "select mandate_status, count(*) as count from mandate_audit group by all")
 def _(t):
     return mandates.status_counts(t["mandate_audit"])
