@@ -177,15 +177,11 @@ def _marks(spark: SparkSession, found: Mapping[str, Column]) -> DataFrame:
         (name,) = found
         return one.select(F.inline(name)).select("item", *[(F.col("cells") if n == name else F.lit(1)).alias(n) for n in ("__rows", "__cols")])
 
-    def cells_of(array: Column, item: Column) -> Column:
-        own = F.filter(array, lambda y: y["item"] == item)
-        return F.coalesce(F.get(F.transform(own, lambda y: y["cells"]), 0), F.lit(1))
-
-    rows, cols = F.col("__rows"), F.col("__cols")
-    both = F.transform(rows, lambda x: F.struct(x["item"].alias("item"), x["cells"].alias("__rows"), cells_of(cols, x["item"]).alias("__cols")))
-    only = F.filter(cols, lambda x: ~F.exists(rows, lambda y: y["item"] == x["item"]))
-    rest = F.transform(only, lambda x: F.struct(x["item"].alias("item"), F.lit(1).alias("__rows"), x["cells"].alias("__cols")))
-    return one.select(F.inline(F.concat(both, rest)))
+    def listed(name: str) -> Column:
+        return F.transform(name, lambda x: F.struct(x["item"].alias("item"), *[(x["cells"] if n == name else F.lit(1)).alias(n) for n in found]))
+
+    # One row for each key by grouping: to look each key up in the other side's array takes the product of their lengths.
+    return one.select(F.inline(F.concat(*[listed(name) for name in found]))).groupBy("item").agg(*[F.max(n).alias(n) for n in found])
 
 
 def _all_present(names: Sequence[str]) -> Column:

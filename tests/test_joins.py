@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import time
 from collections import defaultdict
 
 import pytest
@@ -75,6 +76,22 @@ def test_sketch_finds_every_key_above_the_share(spark):
     assert {x["item"] for x in found} >= set(range(40)) and len(found) <= 2000
 
 
+def test_marks_of_many_keys(spark):
+    """Two long lists of hot keys are merged in time that grows with their length, not with its square."""
+    n = 40_000
+
+    def listed(first, last):
+        return F.transform(F.sequence(F.lit(first), F.lit(last)), lambda x: F.struct(x.alias("item"), (x % 7 + 2).cast("int").alias("cells")))
+
+    start = time.monotonic()
+    marks = joins._marks(spark, {"__rows": listed(1, n), "__cols": listed(n // 2 + 1, n + n // 2)})
+    found = marks.agg(F.count("*"), F.sum("item"), F.sum("__rows"), F.sum("__cols")).first()
+    items = range(1, n + n // 2 + 1)
+    rows, cols = sum(x % 7 + 2 if x <= n else 1 for x in items), sum(x % 7 + 2 if x > n // 2 else 1 for x in items)
+    assert tuple(found) == (len(items), sum(items), rows, cols)
+    assert time.monotonic() - start < 60
+
+
 @pytest.mark.parametrize("kind", ["string", "double", "decimal(20,3)", "date", "timestamp_ntz", "binary", "struct<a:bigint,b:string>"])
 def test_key_types(spark, sides, kind):
     left, right = sides
