@@ -5,8 +5,9 @@ such place, so neighbours overlap by ``longest - 1`` words, equal passages fall
 phrase lies in the chunk in which it starts. The words that a chunk shares with the next one count there, not here.
 The dictionary of (language, chunk, copies) is written once and read twice:
 
-1. words and word pairs are counted by 64-bit hash. A phrase occurs no more often than its words and pairs, and a hash no less often than
-   what falls on it, so hashes below ``least`` rule out phrases, never one that is frequent enough. The others go
+1. words and word pairs are counted by 48-bit hash. A phrase occurs no more often than its words and pairs, and a hash no less often than
+   what falls on it, so hashes below ``least`` rule out phrases, never one that is frequent enough. Most hashes are rare, so they are
+   many: each task sends its own sorted, as compressed gaps, and each range of hashes (of about ``RANGE`` bytes of chunks) is summed by itself. The others go
    into a bit filter of counted size, at most ``FILTER_BITS`` (32 MB); more of them than it can tell apart only mean more rows in 2;
 2. the words and phrases that the filter lets through are counted by their text, exactly.
 
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,6 +34,9 @@ from .textkit import ASCII_LOWER, Spans, Texts, arrow_sized, chunks_of, mix, own
 LONGEST, LEAST, SHARE, TOP, EVERY = 3, 10, 50, 2000, 32
 FILTER_BITS = 1 << 28
 BLOCK = 1 << 21  # bytes of chunks that are counted together before they reach Spark
+HELD = 1 << 21  # hashes that a task sums up before it sends them
+RANGE = 1 << 23  # bytes of chunks for each range of hashes
+KEY_BITS = 48
 SPREAD = 64
 
 _PIECE = np.zeros(256, np.uint8)
@@ -136,18 +141,28 @@ def sliced(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 def phrase_counts(chunks: DataFrame, longest: int, least: int) -> DataFrame:
     """(lang, words, phrase, count): all words and phrases that occur ``least`` times or more, and with ``words`` 0 each language's words."""
     spark = chunks.sparkSession
-    hashed = chunks.mapInArrow(_hash_counter(), "key bigint, copies bigint")
-    frequent = stored(hashed.groupBy("key").agg(F.sum("copies").alias("copies")).where(F.col("copies") >= least).select("key"))
+    frequent = stored(frequent_keys(chunks, least))
     bits = spark.sparkContext.broadcast(bit_filter(frequent))
     counted = chunks.mapInArrow(_text_counter(bits, longest), "lang string, words int, phrase string, copies bigint")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("copies").alias("count")).where((F.col("count") >= least) | (F.col("words") == 0))
 
 
+def frequent_keys(chunks: DataFrame, least: int) -> DataFrame:
+    """(key): the hashes of words and pairs that occur ``least`` times or more, summed range by range.
+
+    A word takes two bytes or more with the one that follows it, so there are no more words and pairs than bytes.
+    """
+    size = chunks.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
+    ranges = min(1 + size // RANGE, 1 << 15)
+    sent = chunks.mapInArrow(_hash_counter(ranges), "part int, data binary")
+    return sent.repartition(ranges, "part").sortWithinPartitions("part").mapInArrow(_range_summer(least), "key bigint")
+
+
 def bit_filter(keys: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
     """Two bits of each key, in a table of at least 16 bits a key but at most ``most`` bits; the only thing that reaches the driver."""
     wanted = 16 * max(keys.count(), 1 << 12)
     size = min(1 << (wanted - 1).bit_length(), most)
-    slots = F.explode(F.array(*[F.shiftrightunsigned("key", k).bitwiseAND(size - 1) for k in (0, 32)]))
+    slots = F.explode(F.array(*[F.shiftrightunsigned("key", k).bitwiseAND(size - 1) for k in (0, 20)]))
     words = keys.select(slots.alias("slot")).groupBy(F.shiftright("slot", 6).alias("word"))
     table = words.agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("slot").bitwiseAND(63).cast("int"))).alias("bits")).toArrow()
     bits = np.zeros(size // 64, np.int64)
@@ -157,7 +172,7 @@ def bit_filter(keys: DataFrame, most: int = FILTER_BITS) -> np.ndarray:
 
 def passes(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     out = np.ones(len(keys), bool)
-    for k in (0, 32):
+    for k in (0, 20):
         slot = (keys >> np.uint64(k)) & np.uint64(len(bits) * 64 - 1)
         out &= (bits.view(np.uint64)[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
     return out
@@ -181,11 +196,11 @@ class _Block:
         salts = np.array([int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in self.langs.to_pylist()], np.uint64)
         salt = salts[self.lang] if len(owner) else np.zeros(0, np.uint64)
         hashes = span_hashes(self.data, self.start, self.end)
-        self.word_keys = mix(hashes ^ salt)
+        self.word_keys = mix(hashes ^ salt) >> np.uint64(64 - KEY_BITS)
         after = np.append(self.data, np.uint8(0))[self.end] if len(owner) else np.zeros(0, np.uint8)
         self.goes_on = np.append(owner[1:] == owner[:-1], False)[: len(owner)] & (after == 0x20)
         following = np.append(hashes[1:], np.uint64(0))[: len(owner)]
-        self.pair_keys = mix(mix(hashes ^ salt) * np.uint64(0x9E3779B97F4A7C15) + following)
+        self.pair_keys = mix(mix(hashes ^ salt) * np.uint64(0x9E3779B97F4A7C15) + following) >> np.uint64(64 - KEY_BITS)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Block]:
@@ -214,17 +229,69 @@ def _summed(keys: np.ndarray, copies: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return keys[first], np.add.reduceat(copies, first) if len(first) else copies[:0]
 
 
-def _hash_counter():
+def packed(keys: np.ndarray, copies: np.ndarray) -> bytes:
+    """Sorted hashes and their copies: gaps between hashes, then copies, compressed byte by byte of equal weight."""
+    gaps = np.diff(keys, prepend=np.uint64(0))
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.ravel() for x in (gaps, copies)]
+    return zstandard.ZstdCompressor(level=1).compress(np.concatenate(planes).tobytes())
+
+
+def unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(2, 8, -1)
+    gaps, copies = (np.ascontiguousarray(x.T).view("<u8").ravel() for x in planes)
+    return np.cumsum(gaps, dtype=np.uint64), copies.astype(np.int64)
+
+
+def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    return _summed(np.concatenate([keys for keys, _ in held]), np.concatenate([copies for _, copies in held]))
+
+
+def _hash_counter(ranges: int):
+    def slices(keys: np.ndarray, copies: np.ndarray) -> pa.RecordBatch:
+        part = (keys * np.uint64(ranges)) >> np.uint64(KEY_BITS)
+        first = np.flatnonzero(np.append(True, part[1:] != part[:-1])[: len(part)])
+        data = [packed(keys[a:b], copies[a:b]) for a, b in zip(first, np.append(first[1:], len(keys)), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(part[first].astype(np.int32)), pa.array(data, pa.binary())], ["part", "data"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         for block in _blocks(batches):
             pair = block.own & block.goes_on
             keys = np.concatenate([block.word_keys[block.own], block.pair_keys[pair]])
-            keys, copies = _summed(keys, np.concatenate([block.copies[block.own], block.copies[pair]]))
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(copies, pa.int64())], ["key", "copies"])
+            held.append(_summed(keys, np.concatenate([block.copies[block.own], block.copies[pair]])))
+            if sum(len(keys) for keys, _ in held) >= HELD:
+                held = [_merged(held)]
+                if len(held[0][0]) >= HELD // 2:
+                    yield slices(*held[0])
+                    held = []
+        if held:
+            yield slices(*_merged(held))
 
     return count
 
 
+def _range_summer(least: int):
+    """Sums of one range after the other; their slices come in order of ranges."""
+
+    def frequent(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        keys, copies = _merged(held)
+        return pa.RecordBatch.from_arrays([pa.array(keys[copies >= least].view(np.int64))], ["key"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            for part, data in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if part != at and held:
+                    yield frequent(held)
+                    held = []
+                held.append(unpacked(data.as_py()))
+                at = part
+        if held:
+            yield frequent(held)
+
+    return add
+
+
 def _text_counter(bits, longest: int):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):

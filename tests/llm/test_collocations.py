@@ -105,6 +105,21 @@ def test_filter_keeps_every_key(spark):
     assert collocations.passes(collocations.bit_filter(frame), others.view(np.uint64)).mean() < 0.05
 
 
+def test_rare_hashes_travel_packed(spark, monkeypatch):
+    """The hash pass sends a few bytes for a hash, not a row for each, and sums the ranges exactly."""
+    words = [f"w{i}" for i in range(60_000)] + [f"c{i % 500}" for i in range(5_000)]
+    rows = [(i, " ".join(words[i::50]), "en", "s") for i in range(50)]
+    chunks = collocations.dictionary(documents(spark, rows), "lang", "text", 3, 32)
+    sent = chunks.coalesce(1).mapInArrow(collocations._hash_counter(4), "part int, data binary").collect()
+    found = [collocations.unpacked(r["data"]) for r in sent]
+    keys, copies = np.concatenate([k for k, _ in found]), np.concatenate([c for _, c in found])
+    assert len(sent) == 4 and {r["part"] for r in sent} == {0, 1, 2, 3}
+    assert copies.sum() == 2 * len(words) - len(rows) and sum(len(r["data"]) for r in sent) < 6 * len(keys)
+    monkeypatch.setattr(collocations, "RANGE", 1 << 16)
+    frequent = collocations.frequent_keys(chunks, 10).collect()
+    assert sorted(r["key"] for r in frequent) == sorted(keys[copies >= 10].tolist()) and len(frequent) >= 500
+
+
 def test_edge_cases(spark, tricky, nothing):
     assert collocations.mine_collocations(nothing).collect() == []
     got = collocations.mine_collocations(tricky).collect()
