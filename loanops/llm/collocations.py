@@ -9,7 +9,8 @@ The dictionary of (language, chunk, copies) is written once and read twice:
    what falls on it, so hashes below ``least`` rule out phrases, never one that is frequent enough. Most hashes are rare, so they are
    many: each task sends its own sorted, as compressed gaps, and each range of hashes (of about ``RANGE`` bytes of chunks) is summed by itself. The others go
    into a bit filter of counted size, at most ``FILTER_BITS`` (32 MB); more of them than it can tell apart only mean more rows in 2;
-2. the words and phrases that the filter lets through are counted by their text, exactly.
+2. the words and phrases that the filter lets through are counted by their text, exactly. Most are rare too, so each task sends its own sorted, as
+   compressed lists, and each range of their hashes (of about ``TEXT_RANGE`` bytes of chunks) is summed by itself.
 
 Cases: null and empty texts have no phrases; a null language is ``und``; equal rows count once each; phrases never cross a piece (``[.,;:!?]``
 or a line end). A text of one repeated word may be one chunk, so memory is bounded by the longest text. Ties in rank end at the phrase.
@@ -34,8 +35,9 @@ from .textkit import ASCII_LOWER, Spans, Texts, arrow_sized, chunks_of, mix, own
 LONGEST, LEAST, SHARE, TOP, EVERY = 3, 10, 50, 2000, 32
 FILTER_BITS = 1 << 28
 BLOCK = 1 << 21  # bytes of chunks that are counted together before they reach Spark
-HELD = 1 << 21  # hashes that a task sums up before it sends them
+HELD = 1 << 21  # hashes or phrases that a task sums up before it sends them
 RANGE = 1 << 23  # bytes of chunks for each range of hashes
+TEXT_RANGE = 1 << 25  # the same for phrases, of which fewer are left
 KEY_BITS = 48
 SPREAD = 64
 
@@ -143,8 +145,13 @@ def phrase_counts(chunks: DataFrame, longest: int, least: int) -> DataFrame:
     spark = chunks.sparkSession
     frequent = stored(frequent_keys(chunks, least))
     bits = spark.sparkContext.broadcast(bit_filter(frequent))
-    counted = chunks.mapInArrow(_text_counter(bits, longest), "lang string, words int, phrase string, copies bigint")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("copies").alias("count")).where((F.col("count") >= least) | (F.col("words") == 0))
+    ranges = min(1 + chunk_bytes(chunks) // TEXT_RANGE, 1 << 15)
+    sent = chunks.mapInArrow(_text_counter(bits, longest, ranges), "part int, lang string, phrases binary, copies binary")
+    return sent.repartition(ranges, "part").sortWithinPartitions("part").mapInArrow(_phrase_summer(least), "lang string, words int, phrase string, count bigint")
+
+
+def chunk_bytes(chunks: DataFrame) -> int:
+    return chunks.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
 
 
 def frequent_keys(chunks: DataFrame, least: int) -> DataFrame:
@@ -152,8 +159,7 @@ def frequent_keys(chunks: DataFrame, least: int) -> DataFrame:
 
     A word takes two bytes or more with the one that follows it, so there are no more words and pairs than bytes.
     """
-    size = chunks.agg(F.sum(F.octet_length("chunk"))).first()[0] or 0
-    ranges = min(1 + size // RANGE, 1 << 15)
+    ranges = min(1 + chunk_bytes(chunks) // RANGE, 1 << 15)
     sent = chunks.mapInArrow(_hash_counter(ranges), "part int, data binary")
     return sent.repartition(ranges, "part").sortWithinPartitions("part").mapInArrow(_range_summer(least), "key bigint")
 
@@ -292,32 +298,107 @@ def _range_summer(least: int):
     return add
 
 
-def _text_counter(bits, longest: int):
+def _by_phrase(held: list[pa.Table]) -> pa.Table:
+    """(lang, phrase, copies): one row for each phrase."""
+    summed = pa.concat_tables(held).group_by(["lang", "phrase"], use_threads=False).aggregate([("copies", "sum")])
+    return pa.table({"lang": summed["lang"], "phrase": summed["phrase"], "copies": summed["copies_sum"]})
+
+
+def packed_phrases(table: pa.Table, ranges: int) -> pa.RecordBatch:
+    """(part, lang, phrases, copies): the phrases of each range and language in order, line by line, and their copies."""
+    table = table.take(pc.sort_indices(table["phrase"]))
+    phrase = table["phrase"].combine_chunks().cast(pa.large_string())
+    offsets = np.frombuffer(phrase.buffers()[1], np.int64)[phrase.offset : phrase.offset + len(phrase) + 1]
+    raw = phrase.buffers()[2]
+    data = np.frombuffer(raw, np.uint8) if raw is not None and raw.size else np.zeros(0, np.uint8)
+    part = (span_hashes(data, offsets[:-1], offsets[1:]) >> np.uint64(64 - KEY_BITS)) * np.uint64(ranges) >> np.uint64(KEY_BITS)
+    lang = table["lang"].combine_chunks().dictionary_encode()
+    group = part.astype(np.int64) * max(len(lang.dictionary), 1) + lang.indices.to_numpy()
+    order = np.argsort(group, kind="stable")
+    group, copies = group[order], table["copies"].to_numpy()[order]
+    first = np.flatnonzero(np.append(True, group[1:] != group[:-1])[: len(group)])
+    edges = np.append(first, len(group))
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(edges, pa.int32()), phrase.take(pa.array(order))), pa.scalar("\n", pa.large_string()))
+    small = zstandard.ZstdCompressor(level=3)
+    texts = [small.compress(x.as_buffer()) for x in lines]
+    numbers = [small.compress(copies[a:b].astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    columns = [pa.array(part[order[first]].astype(np.int32)), table["lang"].combine_chunks().take(pa.array(order[first])), pa.array(texts, pa.binary()), pa.array(numbers, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["part", "lang", "phrases", "copies"])
+
+
+def unpacked_phrases(lang: str, phrases: bytes, copies: bytes) -> pa.Table:
+    unpack = zstandard.ZstdDecompressor()
+    lines = pc.split_pattern(pa.array([unpack.decompress(phrases)], pa.large_binary()).cast(pa.large_string()), "\n").flatten()
+    numbers = np.ascontiguousarray(np.frombuffer(unpack.decompress(copies), np.uint8).reshape(8, -1).T).view("<u8").ravel().astype(np.int64)
+    return pa.table({"lang": pa.repeat(pa.scalar(lang, pa.string()), len(lines)), "phrase": lines, "copies": numbers})
+
+
+def _text_counter(bits, longest: int, ranges: int):
+    def counted(block: _Block) -> Iterator[pa.Table]:
+        totals = np.bincount(block.lang[block.own], block.copies[block.own], len(block.langs)).astype(np.int64)
+        yield _counted(block.langs, np.arange(len(totals)), pa.array([""] * len(totals), pa.string()), totals)
+        if not len(block.start):
+            return
+        pair = passes(bits.value, block.pair_keys) & block.goes_on
+        chosen = block.own & passes(bits.value, block.word_keys)
+        for words in range(1, longest + 1):
+            at = np.flatnonzero(chosen)
+            phrases = sliced(block.data, block.start[at], block.end[at + words - 1]).dictionary_encode()
+            size = max(len(phrases.dictionary), 1)
+            keys, copies = _summed(block.lang[at].astype(np.int64) * size + phrases.indices.to_numpy(), block.copies[at])
+            yield _counted(block.langs, keys // size, phrases.dictionary.take(pa.array(keys % size)), copies)
+            # A phrase of one word more: the last word so far and the next make a frequent pair.
+            reach = np.zeros(len(pair), bool)
+            reach[: len(pair) - words + 1] = pair[words - 1 :]
+            chosen = (block.own if words == 1 else chosen) & reach
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
         for block in _blocks(batches):
-            totals = np.bincount(block.lang[block.own], block.copies[block.own], len(block.langs)).astype(np.int64)
-            yield _counted(block.langs, np.arange(len(totals)), 0, pa.array([""] * len(totals), pa.string()), totals)
-            if not len(block.start):
-                continue
-            pair = passes(bits.value, block.pair_keys) & block.goes_on
-            chosen = block.own & passes(bits.value, block.word_keys)
-            for words in range(1, longest + 1):
-                at = np.flatnonzero(chosen)
-                phrases = sliced(block.data, block.start[at], block.end[at + words - 1]).dictionary_encode()
-                size = max(len(phrases.dictionary), 1)
-                keys, copies = _summed(block.lang[at].astype(np.int64) * size + phrases.indices.to_numpy(), block.copies[at])
-                yield _counted(block.langs, keys // size, words, phrases.dictionary.take(pa.array(keys % size)), copies)
-                # A phrase of one word more: the last word so far and the next make a frequent pair.
-                reach = np.zeros(len(pair), bool)
-                reach[: len(pair) - words + 1] = pair[words - 1 :]
-                chosen = (block.own if words == 1 else chosen) & reach
+            held.extend(counted(block))
+            if sum(len(table) for table in held) >= HELD:
+                held = [_by_phrase(held)]
+                if len(held[0]) >= HELD // 2:
+                    yield packed_phrases(held[0], ranges)
+                    held = []
+        if held:
+            yield packed_phrases(_by_phrase(held), ranges)
 
     return count
 
 
-def _counted(langs: pa.Array, lang: np.ndarray, words: int, phrases: pa.Array, copies: np.ndarray) -> pa.RecordBatch:
-    columns = [langs.take(pa.array(lang, pa.int64())), pa.array(np.full(len(lang), words), pa.int32()), phrases, pa.array(copies, pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "copies"])
+def _counted(langs: pa.Array, lang: np.ndarray, phrases: pa.Array, copies: np.ndarray) -> pa.Table:
+    return pa.table({"lang": langs.take(pa.array(lang, pa.int64())), "phrase": phrases.cast(pa.large_string()), "copies": pa.array(copies, pa.int64())})
+
+
+def _phrase_summer(least: int):
+    """Sums of one range after the other; no phrase at all stands for a language's words."""
+
+    def frequent(held: list[pa.Table]) -> pa.RecordBatch:
+        table = _by_phrase(held)
+        table = table.filter(pc.or_(pc.greater_equal(table["copies"], least), pc.equal(table["phrase"], ""))).combine_chunks()
+        words = pc.if_else(pc.equal(table["phrase"], ""), 0, pc.add(pc.count_substring(table["phrase"], " "), 1))
+        columns = [table["lang"], words.cast(pa.int32()), table["phrase"].cast(pa.string()), table["copies"]]
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "words", "phrase", "count"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at, size, most = [], None, 0, 2 * HELD
+        for batch in batches:
+            for part, *row in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+                if part != at and held:
+                    yield frequent(held)
+                    held, size, most = [], 0, 2 * HELD
+                held.append(unpacked_phrases(*row))
+                at, size = part, size + len(held[-1])
+                if size >= most:
+                    held = [_by_phrase(held)]
+                    size = len(held[0])
+                    most = max(most, 2 * size)
+        if held:
+            yield frequent(held)
+
+    return add
 
 
 # ---------------------------------------------------------------- ranking

@@ -120,6 +120,31 @@ def test_rare_hashes_travel_packed(spark, monkeypatch):
     assert sorted(r["key"] for r in frequent) == sorted(keys[copies >= 10].tolist()) and len(frequent) >= 500
 
 
+def test_phrases_travel_packed(spark, monkeypatch):
+    """Each range of phrases comes from a task as one compressed list for each language, whatever number of times it was merged before."""
+    rows = [(i, f"alpha{i % 90} beta{i % 7} gamma{i % 11}. delta Éa {i % 300}", "en" if i % 3 else "de", "s") for i in range(6000)]
+    chunks = collocations.dictionary(documents(spark, rows), "lang", "text", 3, 8)
+    table = chunks.select("lang", "chunk", "shared", "copies").toArrow()
+    everything = type("Bits", (), {"value": np.full(64, -1, np.int64)})
+    want = Counter()
+    for _, text, lang, _ in rows:
+        for words in pieces_of(text):
+            want[lang, 0, ""] += len(words)
+            for k in range(1, 4):
+                want.update((lang, k, " ".join(words[i : i + k])) for i in range(len(words) - k + 1))
+    for held in (1 << 21, 500):
+        monkeypatch.setattr(collocations, "HELD", held)
+        sent = [b for half in (table[:2000], table[2000:]) for b in collocations._text_counter(everything, 3, 4)(iter(half.to_batches(max_chunksize=300)))]
+        parts = pa.Table.from_batches(sent).sort_by("part")
+        if held > 500:
+            assert len(parts) <= 2 * 4 * 2 + 2
+            assert parts["phrases"].nbytes + parts["copies"].nbytes < sum(len(p) for _, _, p in want)
+        got = pa.Table.from_batches(collocations._phrase_summer(10)(iter(parts.to_batches(max_chunksize=5)))).to_pylist()
+        found = {(r["lang"], r["words"], r["phrase"]): r["count"] for r in got}
+        assert len(found) == len(got)
+        assert found == {k: n for k, n in want.items() if n >= 10 or k[1] == 0}
+
+
 def test_edge_cases(spark, tricky, nothing):
     assert collocations.mine_collocations(nothing).collect() == []
     got = collocations.mine_collocations(tricky).collect()
